@@ -124,7 +124,7 @@ def day_measures(ledger: DataFrame, params: Params) -> DataFrame:
         .agg(
             F.sum(F.when(F.col("is_voucher"), F.col("amount"))).cast(MONEY).alias("voucher"),
             F.sum(F.when(F.col("is_weekday"), F.col("amount"))).cast(MONEY).alias("weekday"),
-            F.sum("amount").cast(MONEY).alias("opening"),
+            F.sum(F.when(F.col("instant").isNotNull(), F.col("amount"))).cast(MONEY).alias("opening"),
         )
     )
     none, no_time = F.lit(None).cast(MONEY), F.lit(None).cast("timestamp_ntz")
@@ -145,6 +145,7 @@ def day_measures(ledger: DataFrame, params: Params) -> DataFrame:
     )
     return (
         per_instant.select("account_id", F.inline(bookings))
+        .where("coalesce(first, voucher, weekday) is not null")
         .groupBy("account_id", "balance_date")
         .agg(
             F.sum("voucher").cast(MONEY).alias("amount_voucher"),

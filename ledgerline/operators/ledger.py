@@ -40,6 +40,6 @@ def prune_accounts(rows: DataFrame, merchants: DataFrame, params: Params) -> Dat
     """
     scope = merchants.where(in_scope(params) & referral_in_scope(params)).select("account_id")
     limit = params.account_broadcast_rows
-    if limit <= 0 or scope.limit(limit + 1).count() > limit:
+    if limit <= 0 or scope.count() > limit:
         return rows
     return rows.join(F.broadcast(scope), "account_id", "left_semi")

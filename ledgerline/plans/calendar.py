@@ -7,6 +7,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerline.plans import fixed_values as house
+from ledgerline.sources.literal import literal_table
+from ledgerline.sources.schemas import HOLIDAYS
 
 # How far back the previous working day may lie.
 LOOK_BACK_DAYS = 31
@@ -18,7 +20,7 @@ def holiday_table(
     extra: Iterable[date] = house.HOLIDAYS,
 ) -> DataFrame:
     """The fixed holidays plus a table of public holidays (``holiday_date``)."""
-    fixed = spark.createDataFrame([(d,) for d in extra], "holiday_date date")
+    fixed = literal_table(spark, HOLIDAYS, [(d,) for d in extra])
     if public_holidays is None:
         return fixed
     return fixed.unionByName(public_holidays.select(F.to_date("holiday_date").alias("holiday_date")))
@@ -33,7 +35,7 @@ def settlement_calendar(holidays: DataFrame, first: date, last: date) -> DataFra
     """
     start = first - timedelta(days=LOOK_BACK_DAYS)
     end = last + timedelta(days=1)
-    days = holidays.sparkSession.range(1).select(
+    days = holidays.sparkSession.range(0, 1, 1, 1).select(
         F.explode(F.sequence(F.lit(start), F.lit(end))).alias("day")
     )
     closed = (

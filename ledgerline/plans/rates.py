@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 from ledgerline.functions.columns import RATE
 from ledgerline.plans import fixed_values as house
 from ledgerline.plans.params import Params
-
-RATE_SCHEMA = f"kind string, key string, rate {RATE}"
+from ledgerline.sources.literal import literal_table
+from ledgerline.sources.schemas import RATES
 
 
 def rate_card(
@@ -20,7 +20,7 @@ def rate_card(
 ) -> DataFrame:
     rules = [("account", str(k), v) for k, v in accounts.items()]
     rules += [("referral", k, v) for k, v in referrals.items()]
-    return spark.createDataFrame(rules, RATE_SCHEMA)
+    return literal_table(spark, RATES, rules)
 
 
 def with_rates(merchants: DataFrame, rates: DataFrame, params: Params) -> DataFrame:
@@ -64,7 +64,7 @@ def one_row_per_account(merchants: DataFrame) -> DataFrame:
     return (
         merchants.where(F.col("account_id").isNotNull())
         .groupBy("account_id")
-        .agg(only("referral_code_acquisition"), only("vendor_id"))
+        .agg(only("referral_code_acquisition"), only("vendor_type"), only("vendor_id"))
     )
 
 

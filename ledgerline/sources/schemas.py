@@ -6,43 +6,77 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerline.functions.columns import AMOUNT, MONEY, RATE
+LONG, TEXT, DOUBLE, DATE, TIME = (
+    T.LongType(),
+    T.StringType(),
+    T.DoubleType(),
+    T.DateType(),
+    T.TimestampNTZType(),
+)
+AMOUNT, MONEY, RATE = T.DecimalType(18, 4), T.DecimalType(20, 4), T.DecimalType(5, 4)
 
 
-def _schema(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
+def _schema(**columns: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(name, kind) for name, kind in columns.items()])
 
 
 LEDGER = _schema(
-    f"""account_id bigint, merchant_id string, merch_name string, txn_date timestamp_ntz,
-    issuer string, txn_type string, amt {AMOUNT}, credit_trans_trx_id bigint,
-    issuer_txn_ref string, yti_txn_extref string, yti_txn_ref string, terminal_id string"""
+    account_id=LONG,
+    merchant_id=TEXT,
+    merch_name=TEXT,
+    txn_date=TIME,
+    issuer=TEXT,
+    txn_type=TEXT,
+    amt=AMOUNT,
+    credit_trans_trx_id=LONG,
+    issuer_txn_ref=TEXT,
+    yti_txn_extref=TEXT,
+    yti_txn_ref=TEXT,
+    terminal_id=TEXT,
 )
 MERCHANTS = _schema(
-    "account_id bigint, referral_code_acquisition string, vendor_type string, vendor_id bigint"
+    account_id=LONG, referral_code_acquisition=TEXT, vendor_type=TEXT, vendor_id=LONG
 )
-TRANSACTIONS = _schema("trx_id string, trx_date timestamp_ntz")
-CARD_REFS = _schema("yt_ref string, approval_code string, transaction_date timestamp_ntz")
+TRANSACTIONS = _schema(trx_id=TEXT, trx_date=TIME)
+CARD_REFS = _schema(yt_ref=TEXT, approval_code=TEXT, transaction_date=TIME)
 BANK_ACCOUNTS = _schema(
-    """account_id bigint, bank_name string, bank_account_name string,
-    bank_account_number string, bank_code string"""
-)
-OPS_BALANCES = _schema(
-    f"account_id bigint, balance {MONEY}, created_date timestamp_ntz, processed_dttm timestamp_ntz"
+    account_id=LONG,
+    bank_name=TEXT,
+    bank_account_name=TEXT,
+    bank_account_number=TEXT,
+    bank_code=TEXT,
 )
-HOLIDAYS = _schema("holiday_date date")
-RATES = _schema(f"kind string, key string, rate {RATE}")
+OPS_BALANCES = _schema(account_id=LONG, balance=MONEY, created_date=TIME, processed_dttm=TIME)
+HOLIDAYS = _schema(holiday_date=DATE)
+RATES = _schema(kind=TEXT, key=TEXT, rate=RATE)
 
 REPORT = _schema(
-    """balance_date date, account_id bigint, merch_name string, carry_over_balance double,
-    total_gross_transaction double, total_gross_balance double, gross_difference double,
-    first_trx double, trx_00_amt double, amount_voucher double, amount_final double,
-    balance_final double, total_mdr double, total_net_trx double, amount_to_transfer double,
-    confirm_to_transfer string, bank_account_name string, bank_account_number string,
-    bank_code string, bank_name string, total_traffic_not_match double,
-    total_gross_transaction_not_match double, total_mdr_not_match double,
-    total_amount_to_transfer_not_match double"""
+    balance_date=DATE,
+    account_id=LONG,
+    merch_name=TEXT,
+    carry_over_balance=DOUBLE,
+    total_gross_transaction=DOUBLE,
+    total_gross_balance=DOUBLE,
+    gross_difference=DOUBLE,
+    first_trx=DOUBLE,
+    trx_00_amt=DOUBLE,
+    amount_voucher=DOUBLE,
+    amount_final=DOUBLE,
+    balance_final=DOUBLE,
+    total_mdr=DOUBLE,
+    total_net_trx=DOUBLE,
+    amount_to_transfer=DOUBLE,
+    confirm_to_transfer=TEXT,
+    bank_account_name=TEXT,
+    bank_account_number=TEXT,
+    bank_code=TEXT,
+    bank_name=TEXT,
+    total_traffic_not_match=DOUBLE,
+    total_gross_transaction_not_match=DOUBLE,
+    total_mdr_not_match=DOUBLE,
+    total_amount_to_transfer_not_match=DOUBLE,
 )
+
 # As stored: the account id is text.
 STORED_REPORT = T.StructType(
     [T.StructField(f.name, T.StringType() if f.name == "account_id" else f.dataType) for f in REPORT]

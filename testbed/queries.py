@@ -183,7 +183,7 @@ def midnight_weekday_amount(spark, sf_dir):
 def day_measures(spark, sf_dir):
     return amounts.day_measures(b.ledger(spark, sf_dir), PARAMS).select(
         "account_id", "balance_date", *_doubles("amount_voucher", "trx_00_amt", "first_trx")
-    ).where("coalesce(amount_voucher, trx_00_amt, first_trx) is not null")
+    )
 
 
 def _days(spark, sf_dir):

@@ -61,10 +61,21 @@ def sequence_reference(c: Column) -> Column:
     return F.regexp_replace(c, "_payment", "")
 
 
-def spread_nulls(key: Column, *by: str) -> Column:
-    """Join key that sends null keys to many partitions instead of one.
+def held_key(key: Column) -> Column:
+    """Join form of a key on the side that is looked up; pairs with :func:`sought_key`.
 
-    The substitute depends on row values only, so a re-run task writes the same
-    rows to the same partitions. The caller must still ignore hits on null keys.
+    The prefix makes it a new expression, so Spark shuffles this side once more
+    even where it is already grouped by the bare key. Only a join whose two sides
+    come straight from a shuffle is split by the adaptive skew rule.
     """
-    return F.coalesce(key, F.concat(F.lit("\u0001"), F.hex(F.xxhash64(*by))))
+    return F.concat(F.lit("k"), key)
+
+
+def sought_key(key: Column, *by: str) -> Column:
+    """Join form of a key on the row side: null keys go to many partitions instead of one.
+
+    A null key is replaced by a value that no held key has. It depends on row
+    values only, so a task that runs again writes the same rows to the same
+    partitions.
+    """
+    return F.coalesce(held_key(key), F.concat(F.lit("n"), F.hex(F.xxhash64(*by))))

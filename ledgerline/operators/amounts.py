@@ -15,7 +15,7 @@ from ledgerline.functions.columns import (
     signed_amount,
     since,
 )
-from ledgerline.operators.ledger import ledger_since
+from ledgerline.operators.ledger import ledger_since, with_merchants
 from ledgerline.plans.params import Params
 
 
@@ -55,6 +55,19 @@ def voucher_totals(ledger: DataFrame, params: Params) -> DataFrame:
     )
 
 
+def voucher_rows(ledger: DataFrame, merchants: DataFrame, params: Params) -> DataFrame:
+    """Voucher transactions of the accounts in scope, one by one."""
+    rows = ledger_since(ledger, params.ledger_days, params).where(_is_voucher(params))
+    return with_merchants(rows, merchants.select("account_id")).select(
+        "txn_date",
+        F.to_date("txn_date").alias("trx_date"),
+        "account_id",
+        "merchant_id",
+        "issuer",
+        _amount().alias("amount_base"),
+    )
+
+
 def weekday_opening_totals(ledger: DataFrame, params: Params) -> DataFrame:
     """Signed sum of the first moments of each weekday, per (account, day)."""
     return (

@@ -5,51 +5,67 @@ from datetime import date, timedelta
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerline.functions.columns import MONEY, RATE, or_zero, shortly_after_midnight
+from ledgerline.functions.columns import FEE, MONEY, RATE, or_zero, shortly_after_midnight
 from ledgerline.operators.pick import earliest_ops_balance
 from ledgerline.plans.params import Params
 
 
-def daily_totals(rows: DataFrame, merchants: DataFrame, params: Params) -> DataFrame:
-    """Matched and unmatched sums per (account, balance_date), with rate and merchant name.
-
-    The first grouping keeps the name as a key, so its buffers are all
-    fixed-width and hash aggregation applies; the second works on about one row
-    per account and day. The rate is a property of the account: it is joined to
-    the sums, not to the transactions, and the unmatched fee is the rate times
-    the unmatched sum, exactly. ``opening_matched`` is the matched part of the
-    first moments of the day. The name is the earliest one that is not null.
+def named_sums(rows: DataFrame, params: Params, *also_by: str) -> DataFrame:
+    """Matched and unmatched sums per (account, balance_date, merch_name, ...).
+
+    Text stays in the key, so that all buffers are fixed-width and hash
+    aggregation applies; about one row per account and day comes out.
+    ``opening`` is the matched part of the first moments of the day.
     """
     matched, amount = F.col("is_matched"), F.col("amount_base")
     opens = shortly_after_midnight("txn_date", params.holiday_carry_until)
     zero = F.lit(0).cast(rows.schema["amount_base"].dataType)
-    sums = ["matched", "unmatched", "opening"]
-    by_name = rows.groupBy("account_id", F.col("trx_date").alias("balance_date"), "merch_name").agg(
+    by = ["account_id", F.to_date("txn_date").alias("balance_date"), "merch_name", *also_by]
+    return rows.groupBy(*by).agg(
         F.sum(F.when(matched, amount).otherwise(zero)).cast(MONEY).alias("matched"),
         F.sum(F.when(matched, zero).otherwise(amount)).cast(MONEY).alias("unmatched"),
         F.sum(F.when(matched & opens, amount).otherwise(zero)).cast(MONEY).alias("opening"),
         F.count(F.when(~matched, 1)).alias("traffic"),
         F.min("txn_date").alias("first_seen"),
     )
+
+
+def _day_sums(*more: Column) -> list[Column]:
+    """Aggregates of :func:`named_sums` rows; the name is the earliest one that is not null."""
     named = F.when(F.col("merch_name").isNotNull(), F.struct("first_seen", "merch_name"))
-    by_day = by_name.groupBy("account_id", "balance_date").agg(
-        *[F.sum(c).cast(MONEY).alias(c) for c in sums],
-        F.sum("traffic").alias("unmatched_traffic"),
+    return [
         F.min_by("merch_name", named).alias("merch_name"),
+        F.sum("matched").cast(MONEY).alias("amount_base"),
+        F.sum("unmatched").cast(MONEY).alias("unmatched_amount"),
+        F.sum("opening").cast(MONEY).alias("opening_matched"),
+        F.sum("traffic").alias("unmatched_traffic"),
+        *more,
+    ]
+
+
+def daily_totals(rows: DataFrame, merchants: DataFrame, params: Params) -> DataFrame:
+    """Daily sums per (account, balance_date), with rate and merchant name.
+
+    The rate is a property of the account: it is joined to the sums, not to the
+    transactions, and the unmatched fee is the rate times the unmatched sum, exactly.
+    """
+    by_day = named_sums(rows, params).groupBy("account_id", "balance_date").agg(*_day_sums())
+    fee = F.col("unmatched_amount") * F.col("mdr_rate")
+    return by_day.join(merchants.select("account_id", "mdr_rate"), "account_id").withColumns(
+        {"unmatched_mdr": fee, "unmatched_net": F.col("unmatched_amount") - fee}
     )
+
+
+def daily_totals_of_priced_rows(rows: DataFrame, params: Params) -> DataFrame:
+    """The same for rows that carry their own ``mdr_rate``; the day shows the highest."""
     fee = F.col("unmatched") * F.col("mdr_rate")
-    return by_day.join(merchants.select("account_id", "mdr_rate"), "account_id").select(
-        "account_id",
-        "balance_date",
-        "merch_name",
-        "mdr_rate",
-        F.col("matched").alias("amount_base"),
-        F.col("unmatched").alias("unmatched_amount"),
-        fee.alias("unmatched_mdr"),
-        (F.col("unmatched") - fee).alias("unmatched_net"),
-        "unmatched_traffic",
-        F.col("opening").alias("opening_matched"),
+    sums = _day_sums(
+        F.max("mdr_rate").alias("mdr_rate"),
+        F.sum(fee).cast(FEE).alias("unmatched_mdr"),
+        F.sum(F.col("unmatched") - fee).cast(FEE).alias("unmatched_net"),
     )
+    priced = named_sums(rows, params, "mdr_rate")
+    return priced.groupBy("account_id", "balance_date").agg(*sums)
 
 
 def date_bounds(daily: DataFrame) -> tuple[date, date] | None:
@@ -132,8 +148,8 @@ def account_days(
         filled_rate(params).alias("mdr_rate"),
         or_zero(F.col("amount_base")).alias("amount_base"),
         or_zero(F.col("unmatched_amount")).alias("unmatched_amount"),
-        F.coalesce("unmatched_mdr", F.lit(0)).alias("unmatched_mdr"),
-        F.coalesce("unmatched_net", F.lit(0)).alias("unmatched_net"),
+        or_zero(F.col("unmatched_mdr"), FEE).alias("unmatched_mdr"),
+        or_zero(F.col("unmatched_net"), FEE).alias("unmatched_net"),
         F.coalesce("unmatched_traffic", F.lit(0)).alias("unmatched_traffic"),
         or_zero(F.when(active, F.col("amount_voucher"))).alias("amount_voucher"),
         or_zero(F.col("first_trx")).alias("first_trx"),

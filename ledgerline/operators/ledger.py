@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.functions.columns import AMOUNT, or_zero, signed_amount, since
+from ledgerline.functions.columns import AMOUNT, held_key, or_zero, signed_amount, since
 from ledgerline.plans.params import Params
 from ledgerline.plans.rates import in_scope, referral_in_scope
 
@@ -27,8 +27,13 @@ def signed_ledger(ledger: DataFrame, params: Params) -> DataFrame:
 
 
 def with_merchants(rows: DataFrame, merchants: DataFrame) -> DataFrame:
-    """Inner join on account; ``merchants`` is already reduced to the accounts in scope."""
-    return rows.join(merchants, "account_id")
+    """Inner join on account; ``merchants`` is already reduced to the accounts in scope.
+
+    Joined on the held form of the account, so that a hot account can be split.
+    """
+    key = held_key(F.col("account_id").cast("string"))
+    held = merchants.withColumn("_key", key).drop("account_id")
+    return rows.withColumn("_key", key).join(held, "_key").drop("_key")
 
 
 def prune_accounts(rows: DataFrame, merchants: DataFrame, params: Params) -> DataFrame:

@@ -14,11 +14,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.functions.columns import (
+    held_key,
     invoice_reference,
     padded_reference,
     sequence_reference,
     since,
-    spread_nulls,
+    sought_key,
 )
 from ledgerline.plans.params import Params
 
@@ -121,16 +122,19 @@ def card_keys(
 
 
 def look_up(rows: DataFrame, keys: DataFrame, key: Column, value: Column, name: str) -> DataFrame:
-    """Left join on (key, trx_date) with null keys spread out; null where nothing was found."""
-    probe = spread_nulls(key, "account_id", "txn_date", "credit_trans_trx_id")
+    """Add ``value`` of the ``keys`` row with the same key and date, or null.
+
+    ``keys`` has at most one row per (match_key, feed_date).
+    """
     found = keys.select(
-        F.col("match_key").alias("_probe"), F.col("feed_date").alias("trx_date"), value.alias("_found")
+        held_key(F.col("match_key")).alias("_key"),
+        F.col("feed_date").alias("trx_date"),
+        value.alias(name),
     )
     return (
-        rows.withColumn("_probe", probe)
-        .join(found, ["_probe", "trx_date"], "left")
-        .withColumn(name, F.when(key.isNotNull(), F.col("_found")))
-        .drop("_probe", "_found")
+        rows.withColumn("_key", sought_key(key, "account_id", "txn_date", "credit_trans_trx_id"))
+        .join(found, ["_key", "trx_date"], "left")
+        .drop("_key")
     )
 
 
@@ -179,10 +183,15 @@ def settlement_base(
         _text(F.col("yt_ref")).alias("trx_id"), F.col("approval_code").alias("mcd_approval_code")
     )
     known = transactions.where(since("trx_date", first_day)).select("trx_id")
-    cards = refs.join(known, "trx_id", "left_semi").withColumnRenamed("trx_id", "_probe")
+    cards = refs.join(known, "trx_id", "left_semi").select(
+        held_key(F.col("trx_id")).alias("_key"), "mcd_approval_code"
+    )
     trx = _text(F.col("credit_trans_trx_id"))
-    probe = spread_nulls(trx, "account_id", "txn_date", "yti_txn_extref")
-    out = rows.withColumn("_probe", probe).join(cards, "_probe", "left").drop("_probe")
+    out = (
+        rows.withColumn("_key", sought_key(trx, "account_id", "txn_date", "yti_txn_extref"))
+        .join(cards, "_key", "left")
+        .drop("_key")
+    )
     hits = []
     for route, column in {**LEDGER_KEY, APPROVAL: "mcd_approval_code"}.items():
         hit = f"_hit_{route}"

@@ -1,8 +1,9 @@
 """The settlement plan: inputs to report."""
 
+import tempfile
 from datetime import timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from ledgerline.functions.columns import since
 from ledgerline.operators.amounts import day_measures
@@ -48,34 +49,57 @@ def daily(inputs: Inputs, params: Params) -> DataFrame:
     )
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the session's checkpoint folder and go on from there.
+def shared_folder(spark: SparkSession) -> str:
+    """The checkpoint folder: the one in use, else the one ``spark.checkpoint.dir`` names.
 
-    A lost executor then costs no more than the small steps after the cut. The
-    folder is the one the cluster names in ``spark.checkpoint.dir``.
+    Only a local master, where driver and executors are one process, may do
+    without and gets a temporary folder.
     """
-    context = df.sparkSession.sparkContext
+    context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if named is None and not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="checkpoint-"))
+    return context.getCheckpointDir()
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the shared checkpoint folder and go on from there.
+
+    A lost executor then costs no more than the small steps after the cut.
+    """
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
+def lay_out(
+    totals: DataFrame, measures: DataFrame, ops: DataFrame, holidays: DataFrame, params: Params
+) -> DataFrame:
+    """The account-day relation over the days that ``totals`` spans, plus the tail."""
+    first, last = date_bounds(totals) or (params.as_of, params.as_of)
+    tail = last + timedelta(days=params.spine_tail_days)
+    calendar = settlement_calendar(holidays, first, tail)
+    return account_days(
+        spine_days(totals, first, last, params), measures, ops_by_balance_date(ops), calendar, params
+    )
+
+
+def recent_ops(ops_balances: DataFrame, params: Params) -> DataFrame:
+    return ops_balances.where(since("processed_dttm", params.days_back(params.ops_days)))
+
+
 def days_of(inputs: Inputs, params: Params) -> DataFrame:
     """The account-day relation.
 
     The daily sums are the end of the large part of the job and are read three
     times (date bounds, account list, spine), so the plan is cut there.
     """
-    totals = cut(daily(inputs, params))
-    first, last = date_bounds(totals) or (params.as_of, params.as_of)
-    tail = last + timedelta(days=params.spine_tail_days)
-    calendar = settlement_calendar(inputs.holidays, first, tail)
-    recent_ops = inputs.ops_balances.where(since("processed_dttm", params.days_back(params.ops_days)))
-    return account_days(
-        spine_days(totals, first, last, params),
+    return lay_out(
+        cut(daily(inputs, params)),
         day_measures(inputs.ledger, params),
-        ops_by_balance_date(recent_ops),
-        calendar,
+        recent_ops(inputs.ops_balances, params),
+        inputs.holidays,
         params,
     )
 

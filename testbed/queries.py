@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions.columns import or_zero
 from ledgerline.operators import amounts, batches, daily, ledger, pick, recon, report
-from ledgerline.plans import settlement
+from ledgerline.plans import extracts, settlement
 from ledgerline.plans.calendar import settlement_calendar
 from ledgerline.plans.rates import merchant_dimension, referral_in_scope
 from ledgerline.sources import sink
@@ -116,26 +116,17 @@ def recon_approval_match(spark, sf_dir):
     return rows.where("found").select("account_id", "credit_trans_trx_id", "trx_date")
 
 
-def _base(spark, sf_dir):
-    rows = ledger.with_merchants(_signed(spark, sf_dir), _scope(spark, sf_dir))
-    return recon.settlement_base(
-        rows, b.feeds(spark, sf_dir), b.transactions(spark, sf_dir), b.card_refs(spark, sf_dir), PARAMS
-    )
-
-
 def recon_key_first_match(spark, sf_dir):
-    return _base(spark, sf_dir).select(
+    return extracts.base_rows(b.inputs(spark, sf_dir), PARAMS).select(
         "account_id", "credit_trans_trx_id", "trx_date", "mcd_approval_code", "key_join_issuer"
     )
 
 
 def base_projection(spark, sf_dir):
-    return _base(spark, sf_dir).select(
-        "key_join_issuer", _micros_of_day(), "trx_date", "issuer", "account_id", "merchant_id", "merch_name",
-        "referral_code_acquisition", "vendor_type", "yti_txn_extref", "yti_txn_ref", "issuer_txn_ref",
-        "mcd_approval_code", "credit_trans_trx_id", "terminal_id", "txn_type",
-        *_doubles("amt", "amount_base", "mdr_rate"),
-    )
+    money = ("amt", "amount_base", "mdr_rate")
+    plain = [c for c in extracts.BASE_COLUMNS if c not in money and c != "txn_date"]
+    base = extracts.base_rows(b.inputs(spark, sf_dir), PARAMS)
+    return base.select(*plain, _micros_of_day(), *_doubles(*money))
 
 
 def match_split(spark, sf_dir):
@@ -165,6 +156,13 @@ def voucher_next_day(spark, sf_dir):
     )
 
 
+def voucher_rows(spark, sf_dir):
+    rows = amounts.voucher_rows(b.ledger(spark, sf_dir), _scope(spark, sf_dir), PARAMS)
+    return rows.select(
+        "account_id", "merchant_id", "issuer", "trx_date", _micros_of_day(), *_doubles("amount_base")
+    )
+
+
 def first_transaction_of_day(spark, sf_dir):
     rows = amounts.first_transactions(b.ledger(spark, sf_dir), _scope(spark, sf_dir), PARAMS)
     return rows.select(
@@ -279,6 +277,15 @@ def settlement_report(spark, sf_dir):
     return settlement.settlement_report(b.inputs(spark, sf_dir), PARAMS)
 
 
+def report_from_extracts(spark, sf_dir):
+    inputs = b.inputs(spark, sf_dir)
+    return extracts.report_from_extracts(extracts.extracts(inputs, PARAMS), inputs.holidays, PARAMS)
+
+
+def extract_row_counts(spark, sf_dir):
+    return extracts.extract_counts(extracts.extracts(b.inputs(spark, sf_dir), PARAMS))
+
+
 def status_summary(spark, sf_dir):
     return report.status_counts(settlement_report(spark, sf_dir))
 
@@ -290,7 +297,7 @@ def report_sink_rows(spark, sf_dir):
 def report_replace_window(spark, sf_dir):
     """Stores the report of a week earlier, replaces its window by today's, and reads the table back."""
     inputs = b.inputs(spark, sf_dir)
-    path = f"{spark.sparkContext.getCheckpointDir()}/settlement_report_{uuid.uuid4().hex}"
+    path = f"{settlement.shared_folder(spark)}/settlement_report_{uuid.uuid4().hex}"
     for as_of in (PARAMS.as_of - timedelta(days=7), PARAMS.as_of):
         params = replace(PARAMS, as_of=as_of)
         rows = settlement.settlement_report(inputs, params)
@@ -303,10 +310,10 @@ QUERIES: dict[str, Query] = {
     for f in (
         ledger_window, signed_amount_daily, merchant_rates, referral_filter_null_safe, dedup_transactions,
         feed_keys, card_approval_keys, recon_approval_match, recon_key_first_match, base_projection, match_split,
-        voucher_next_day, first_transaction_of_day, midnight_weekday_amount, day_measures, holiday_carry,
+        voucher_rows, voucher_next_day, first_transaction_of_day, midnight_weekday_amount, day_measures, holiday_carry,
         calendar_last_working_day, daily_matched_unmatched, account_day_spine, rate_fill, ops_balance_first,
         account_day_balances, settlement_batches, carry_over, settlement_amounts, settlement_status,
-        unmatched_totals, bank_pick, settlement_report, status_summary, report_sink_rows, report_replace_window,
+        unmatched_totals, bank_pick, settlement_report, report_from_extracts, extract_row_counts, status_summary, report_sink_rows, report_replace_window,
     )
 } | {
     "recon_issuer_ref_match": _found_by(recon.ISSUER_REF),

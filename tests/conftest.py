@@ -8,7 +8,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
 
 @pytest.fixture(scope="session")
-def spark(tmp_path_factory):
+def spark():
     session = (
         SparkSession.builder.master("local[8]")
         .appName("tests")
@@ -19,7 +19,5 @@ def spark(tmp_path_factory):
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
-    if session.sparkContext.getCheckpointDir() is None:
-        session.sparkContext.setCheckpointDir(str(tmp_path_factory.mktemp("checkpoint")))
     yield session
     session.stop()

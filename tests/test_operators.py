@@ -83,10 +83,12 @@ def test_trailing_window_includes_its_first_day_and_has_no_end(spark):
     assert sorted(r.txn_date for r in rows) == [datetime(2025, 12, 29), datetime(2026, 3, 1)]
 
 
-def test_spread_nulls_gives_different_keys_and_keeps_real_ones(spark):
+def test_null_keys_are_spread_and_never_meet_a_held_key(spark):
     df = spark.range(100).select(F.lit(None).cast("string").alias("k"), "id")
-    assert df.select(c.spread_nulls(F.col("k"), "id")).distinct().count() == 100
-    assert one(spark, c.spread_nulls(F.col("k"), "id"), k="a", id=1) == "a"
+    sought = df.select(c.sought_key(F.col("k"), "id").alias("s")).distinct()
+    assert sought.count() == 100
+    assert sought.where("s like 'k%'").count() == 0
+    assert one(spark, c.sought_key(F.col("k"), "id"), k="a", id=1) == one(spark, c.held_key(F.col("k")), k="a")
 
 
 # --- conform

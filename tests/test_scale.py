@@ -8,7 +8,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerline.operators import amounts, batches, pick
+from ledgerline.operators import amounts, batches, pick, recon
 from ledgerline.plans import settlement
 from ledgerline.sources import schemas
 from testbed import binding
@@ -21,14 +21,14 @@ SMALL = "/root/testdata/sf0.001"
 @contextmanager
 def settings(spark, **values):
     values = {k.replace("__", "."): str(v) for k, v in values.items()}
-    before = {k: spark.conf.get(k) for k in values}
+    before = {k: spark.conf.get(k, None) for k in values}
     try:
         for k, v in values.items():
             spark.conf.set(k, v)
         yield
     finally:
         for k, v in before.items():
-            spark.conf.set(k, v)
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def plan(df) -> str:
@@ -148,21 +148,32 @@ def test_hot_groups_keep_their_whole_result(spark, broadcast):
     assert sum(got[a].unmatched_traffic for a in range(300, 350)) == n / 2
 
 
-def test_skewed_match_join_is_split(spark):
-    """The join of the hot reference is split by the adaptive skew rule rather than run by one task."""
+def test_hot_reference_is_split_over_several_tasks(spark):
+    """A reference shared by a third of the rows: the adaptive rule splits its side of the join."""
+    n = 60000
+    rows = spark.range(n, numPartitions=6).select(
+        F.lit(100).cast("bigint").alias("account_id"),
+        F.lit(noon(6)).cast("timestamp_ntz").alias("txn_date"),
+        F.to_date(F.lit("2026-01-06")).alias("trx_date"),
+        F.col("id").alias("credit_trans_trx_id"),
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("r"), F.col("id"))).alias("ref"),
+        F.sha2(F.col("id").cast("string"), 256).alias("payload"),
+    )
+    keys = rows.select(F.col("ref").alias("match_key"), F.col("trx_date").alias("feed_date"))
     with settings(
         spark,
         **NO_BROADCAST,
-        spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="16KB",
-        spark__sql__adaptive__advisoryPartitionSizeInBytes="16KB",
-        spark__sql__adaptive__skewJoin__skewedPartitionFactor=1.2,
+        spark__sql__shuffle__partitions=8,
+        spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="64KB",
+        spark__sql__adaptive__advisoryPartitionSizeInBytes="64KB",
+        spark__sql__adaptive__skewJoin__skewedPartitionFactor=2,
     ):
-        rows = settlement.matched_rows(hot_books(spark), replace(PARAMS, account_broadcast_rows=0))
-        rows.write.format("noop").mode("overwrite").save()
-        counted = rows.groupBy("account_id").count()
+        found = recon.look_up(rows, recon.distinct_keys(keys), F.col("ref"), F.lit(True), "hit")
+        counted = found.groupBy("hit", F.substring("payload", 1, 1)).count()
+        assert sum(r["count"] for r in counted.where("hit").collect()) == n
         counted.collect()
         text = plan(counted)
-    assert "SortMergeJoin(skew=true)" in text
+    assert re.search(r"SortMergeJoin\(skew=true\) \[_key", text)
 
 
 def test_cut_needs_a_shared_folder_and_survives_as_files(spark):

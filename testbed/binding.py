@@ -1,9 +1,10 @@
 """Engine inputs derived from the benchmark tables ``events``, ``customer`` and ``nation``.
 
-Every event is one ledger row and every customer one merchant account. Feeds
-hold all events of their kind, by ``k`` (the number in ``props``); a feed's
-timestamp runs five hours late, so that transactions from 19:00 on carry the
-next date and stay unmatched. ``testbed/oracle.py`` states the same in SQL.
+Every event is one ledger row and every customer one merchant account. The
+feeds hold all events but signups, by type and value band, and the bands
+overlap; a feed's timestamp runs five hours late, so that transactions from
+19:00 on carry the next date and stay unmatched. ``k`` is the number in
+``props``. ``testbed/oracle.py`` states the same in SQL.
 """
 
 from datetime import date, timedelta
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions.columns import MONEY
 from ledgerline.operators.ledger import signed_ledger
+from ledgerline.operators.recon import FEEDS
 from ledgerline.plans.calendar import holiday_table
 from ledgerline.plans.params import Params
 from ledgerline.plans.rates import in_scope, rate_card
@@ -37,24 +39,24 @@ PARAMS = Params(
 ACCOUNT_RATES = {10: Decimal("0"), 20: Decimal("0")}
 REFERRAL_RATES = {"AUTOMOBILE": Decimal("0.02"), "BUILDING": Decimal("0.012")}
 
-# Feed -> (event type, lowest k, highest k, raw key expression, key column, timestamp column).
+# Feed -> (event type, lowest value, value it stays below, raw key expression).
 TEXT_ID = "cast(event_id as string)"
 EXTREF = f"lpad({TEXT_ID}, 12, '0')"
 ISSUER_REF = f"concat('T', lpad({TEXT_ID}, 17, '0'))"
 FEED_EVENTS = {
-    "linkaja_msme": ("view", 0, 29, ISSUER_REF),
-    "linkaja_mcd": ("purchase", 0, 99, f"concat('A', {TEXT_ID}, '_payment')"),
-    "linkaja_expansion": ("view", 20, 49, ISSUER_REF),
-    "bni": ("click", 0, 39, TEXT_ID),
-    "shopeepay": ("error", 0, 29, EXTREF),
-    "mandiri": ("error", 20, 39, EXTREF),
-    "ovo": ("view", 40, 99, f"concat('INV-', {ISSUER_REF})"),
-    "kredivo": ("error", 35, 54, EXTREF),
-    "indodana": ("error", 50, 69, EXTREF),
-    "bca": ("error", 65, 99, EXTREF),
-    "btn": ("click", 30, 69, "event_id"),
-    "ottopay": ("click", 60, 89, EXTREF),
-    "ottopay_dashboard": ("click", 80, 99, EXTREF),
+    "linkaja_msme": ("view", 0, 20, ISSUER_REF),
+    "linkaja_mcd": ("purchase", 0, 1000000, f"concat('A', {TEXT_ID}, '_payment')"),
+    "linkaja_expansion": ("view", 15, 40, ISSUER_REF),
+    "bni": ("click", 0, 25, TEXT_ID),
+    "shopeepay": ("error", 0, 15, EXTREF),
+    "mandiri": ("error", 10, 25, EXTREF),
+    "ovo": ("view", 30, 1000000, f"concat('INV-', {ISSUER_REF})"),
+    "kredivo": ("error", 20, 45, EXTREF),
+    "indodana": ("error", 40, 70, EXTREF),
+    "bca": ("error", 60, 1000000, EXTREF),
+    "btn": ("click", 20, 60, "event_id"),
+    "ottopay": ("click", 50, 110, EXTREF),
+    "ottopay_dashboard": ("click", 100, 1000000, EXTREF),
 }
 
 
@@ -126,18 +128,16 @@ def card_refs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def feeds(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    from ledgerline.operators.recon import FEEDS
-
-    source = events(spark, sf_dir)
-    return {
-        spec.name: source.where(
-            f"event_type = '{FEED_EVENTS[spec.name][0]}' "
-            f"and k between {FEED_EVENTS[spec.name][1]} and {FEED_EVENTS[spec.name][2]}"
-        ).selectExpr(
-            f"{FEED_EVENTS[spec.name][3]} as {spec.key}", f"ts + interval 5 hours as {spec.timestamp}"
+    source = table(spark, sf_dir, "events")
+    out = {}
+    for spec in FEEDS:
+        event_type, low, high, key = FEED_EVENTS[spec.name]
+        kind = F.col("event_type") == event_type
+        band = (F.col("value") >= low) & (F.col("value") < high)
+        out[spec.name] = source.where(kind & band).selectExpr(
+            f"{key} as {spec.key}", f"ts + interval 5 hours as {spec.timestamp}"
         )
-        for spec in FEEDS
-    }
+    return out
 
 
 def bank_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -28,7 +28,7 @@ APPROVAL = "approval"
 EXTREF = "extref"
 
 # Ledger column each route is looked up by; the approval route goes through the transaction id.
-LEDGER_KEY = {ISSUER_REF: "issuer_txn_ref", EXTREF: "yti_txn_extref"}
+LEDGER_KEY = {ISSUER_REF: "issuer_txn_ref", EXTREF: "txn_extref"}
 
 
 def _text(c: Column) -> Column:
@@ -188,7 +188,7 @@ def settlement_base(
     )
     trx = _text(F.col("credit_trans_trx_id"))
     out = (
-        rows.withColumn("_key", sought_key(trx, "account_id", "txn_date", "yti_txn_extref"))
+        rows.withColumn("_key", sought_key(trx, "account_id", "txn_date", "txn_extref"))
         .join(cards, "_key", "left")
         .drop("_key")
     )

@@ -45,8 +45,8 @@ BASE_COLUMNS = (
     "merch_name",
     "referral_code_acquisition",
     "vendor_type",
-    "yti_txn_extref",
-    "yti_txn_ref",
+    "txn_extref",
+    "txn_ref",
     "issuer_txn_ref",
     "mcd_approval_code",
     "credit_trans_trx_id",

@@ -1,8 +1,19 @@
-"""The daily run: compute the report and replace its window in the report table."""
+"""The daily run: compute the report and replace its window in the report table.
+
+    spark-submit run_settlement.py --config tables.json --out PATH [--as-of DATE]
+"""
+
+import argparse
+import json
+from collections.abc import Sequence
+from datetime import date
+from pathlib import Path
+
+from pyspark.sql import SparkSession
 
 from ledgerline.plans.params import Params
 from ledgerline.plans.settlement import settlement_report
-from ledgerline.sources.inputs import Inputs
+from ledgerline.sources.inputs import Inputs, read_inputs
 from ledgerline.sources.sink import Written, replace_window
 
 
@@ -10,3 +21,19 @@ def run(inputs: Inputs, params: Params, path: str) -> Written:
     """Returns the row count, settle dates and rows per status of what was written."""
     report = settlement_report(inputs, params)
     return replace_window(report, path, params.report_from, params.as_of)
+
+
+def main(argv: Sequence[str] | None = None) -> Written:
+    parser = argparse.ArgumentParser(description="Daily merchant settlement")
+    parser.add_argument("--config", required=True, help="JSON with tables, feeds, and optionally rename")
+    parser.add_argument("--out", required=True, help="folder of the report table")
+    parser.add_argument("--as-of", type=date.fromisoformat, default=None, help="run date, default today")
+    args = parser.parse_args(argv)
+
+    config = json.loads(Path(args.config).read_text())
+    spark = SparkSession.builder.appName("settlement").getOrCreate()
+    inputs = read_inputs(spark, config["tables"], config["feeds"], config.get("rename"))
+    written = run(inputs, Params(as_of=args.as_of or date.today()), args.out)
+    print(f"{written.rows} rows on {len(written.dates)} settle dates")
+    print(" | ".join(f"{status}: {n}" for status, n in written.by_status.items()))
+    return written

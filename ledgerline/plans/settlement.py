@@ -34,11 +34,11 @@ def matched_rows(inputs: Inputs, params: Params) -> DataFrame:
         "trx_date",
         "credit_trans_trx_id",
         "issuer_txn_ref",
-        "yti_txn_extref",
+        "txn_extref",
         "amount_base",
     )
     flagged = flag_matches(rows, inputs.feeds, inputs.transactions, inputs.card_refs, params)
-    return deduplicate_transactions(flagged.drop("issuer_txn_ref", "yti_txn_extref"))
+    return deduplicate_transactions(flagged.drop("issuer_txn_ref", "txn_extref"))
 
 
 def daily(inputs: Inputs, params: Params) -> DataFrame:

@@ -5,6 +5,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ledgerline.operators.recon import FEEDS
 from ledgerline.plans.calendar import holiday_table
 from ledgerline.plans.rates import rate_card
 from ledgerline.sources import schemas
@@ -42,9 +43,13 @@ def conform_inputs(
     """Bind source tables to the declared schemas.
 
     ``tables`` holds the declared tables by name, optionally with ``rates`` and
-    ``public_holidays``; without them the house rules alone apply. ``rename``
-    maps table -> {declared column: source column}.
+    ``public_holidays``; without them the house rules alone apply. All feeds must
+    be there: a feed left out would make its transactions look unmatched.
+    ``rename`` maps table -> {declared column: source column}.
     """
+    wanted = {feed.name for feed in FEEDS}
+    if set(feeds) != wanted:
+        raise ValueError(f"missing feeds {wanted - set(feeds)}, unknown feeds {set(feeds) - wanted}")
     rename = rename or {}
     bound = {n: schemas.conform(tables[n], s, rename.get(n)) for n, s in DECLARED.items()}
     rates = tables.get("rates")

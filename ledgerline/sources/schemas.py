@@ -30,8 +30,8 @@ LEDGER = _schema(
     amt=AMOUNT,
     credit_trans_trx_id=LONG,
     issuer_txn_ref=TEXT,
-    yti_txn_extref=TEXT,
-    yti_txn_ref=TEXT,
+    txn_extref=TEXT,
+    txn_ref=TEXT,
     terminal_id=TEXT,
 )
 MERCHANTS = _schema(

@@ -98,11 +98,3 @@ def replace_window(report: DataFrame, path: str, first: date, last: date) -> Wri
 
 def read_report(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(STORED_REPORT).parquet(path).select(STORED_REPORT.names)
-
-
-def replace_window_in_table(report: DataFrame, table: str, first: date, last: date) -> None:
-    """The same for a catalog table whose format replaces rows by condition in one commit."""
-    if report.isEmpty():
-        return
-    window = F.col("balance_date").between(first, last)
-    sink_rows(report).where(window).writeTo(table).overwrite(window)

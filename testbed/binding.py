@@ -92,8 +92,8 @@ def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
             "cast(cast(value as decimal(18,2)) * 1000 as decimal(18,2)) as amt",
             "event_id as credit_trans_trx_id",
             f"{ISSUER_REF} as issuer_txn_ref",
-            f"{EXTREF} as yti_txn_extref",
-            f"{TEXT_ID} as yti_txn_ref",
+            f"{EXTREF} as txn_extref",
+            f"{TEXT_ID} as txn_ref",
             "cast(k as string) as terminal_id",
         )
     )

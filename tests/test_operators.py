@@ -237,7 +237,7 @@ def test_another_date_or_a_null_key_does_not_match(spark):
     row = recon_row(spark)
     assert values(recon.flag_matches(row, *recon_inputs(spark, everywhere, 7), PARAMS), "is_matched") == [(False,)]
     bare = row.withColumns(
-        {n: F.lit(None).cast("string") for n in ("issuer_txn_ref", "yti_txn_extref")}
+        {n: F.lit(None).cast("string") for n in ("issuer_txn_ref", "txn_extref")}
     ).withColumn("credit_trans_trx_id", F.lit(None).cast("bigint"))
     assert values(recon.flag_matches(bare, *recon_inputs(spark, everywhere), PARAMS), "is_matched") == [(False,)]
 

@@ -100,23 +100,23 @@ def hot_books(spark, n=20000):
     )
     copies = one.crossJoin(spark.range(n).select("id")).drop("id")
     ids = spark.range(n)
-    no_id = one.drop("credit_trans_trx_id", "issuer_txn_ref", "yti_txn_extref").crossJoin(ids).select(
+    no_id = one.drop("credit_trans_trx_id", "issuer_txn_ref", "txn_extref").crossJoin(ids).select(
         F.lit(200).cast("bigint").alias("account_id"), "merchant_id", "merch_name",
         F.expr("txn_date + make_dt_interval(0, 0, 0, id % 3600)").alias("txn_date"), "issuer", "txn_type", "amt",
         F.lit(None).cast("bigint").alias("credit_trans_trx_id"), F.lit(None).cast("string").alias("issuer_txn_ref"),
-        F.lit(None).cast("string").alias("yti_txn_extref"), "yti_txn_ref", "terminal_id",
+        F.lit(None).cast("string").alias("txn_extref"), "txn_ref", "terminal_id",
     )
-    plain = one.drop("credit_trans_trx_id", "yti_txn_extref").crossJoin(ids).select(
+    plain = one.drop("credit_trans_trx_id", "txn_extref").crossJoin(ids).select(
         (F.col("id") % 50 + 300).alias("account_id"), "merchant_id", "merch_name", "txn_date", "issuer", "txn_type",
         "amt", (F.col("id") + 10).alias("credit_trans_trx_id"), "issuer_txn_ref",
-        F.concat(F.lit("r"), F.col("id")).alias("yti_txn_extref"), "yti_txn_ref", "terminal_id",
+        F.concat(F.lit("r"), F.col("id")).alias("txn_extref"), "txn_ref", "terminal_id",
     ).withColumn("issuer_txn_ref", F.lit(None).cast("string"))
     ledger = copies.unionByName(no_id).unionByName(plain)
     feed = plain.where("credit_trans_trx_id % 2 = 0").select(
-        F.col("yti_txn_extref").alias("transaction_id"), F.col("txn_date").alias("create_time")
+        F.col("txn_extref").alias("transaction_id"), F.col("txn_date").alias("create_time")
     )
     hot_feed = one.crossJoin(ids).select(
-        F.col("yti_txn_extref").alias("transaction_id"), F.col("txn_date").alias("create_time")
+        F.col("txn_extref").alias("transaction_id"), F.col("txn_date").alias("create_time")
     )
     merchants = [(a, "R1", "t", 1) for a in [100, 200, *range(300, 350)]]
     base = Books(spine_anchor=False).inputs(spark)

@@ -83,6 +83,37 @@ def test_daily_run(spark, tmp_path):
     assert sink.read_report(spark, path).columns == schemas.REPORT.names
 
 
+def test_command_line_run_from_stored_tables(spark, tmp_path, capsys):
+    import json
+
+    from ledgerline.operators.recon import FEEDS
+    from ledgerline.plans.job import main
+    from ledgerline.sources.inputs import DECLARED
+
+    inputs = Books().row(6, 100000).balance(7, 100000).inputs(spark)
+    config = {"tables": {}, "feeds": {}, "rename": {"ledger": {"txn_extref": "ext_reference"}}}
+    for name in [*DECLARED, "rates"]:
+        df = getattr(inputs, name)
+        df = df.withColumnRenamed("txn_extref", "ext_reference") if name == "ledger" else df
+        config["tables"][name] = str(tmp_path / name)
+        df.write.parquet(config["tables"][name])
+    for spec in FEEDS:
+        empty = spark.createDataFrame([], f"{spec.key} string, {spec.timestamp} timestamp_ntz")
+        config["feeds"][spec.name] = str(tmp_path / spec.name)
+        inputs.feeds.get(spec.name, empty).write.parquet(config["feeds"][spec.name])
+    file = tmp_path / "tables.json"
+    file.write_text(json.dumps(config))
+    out = str(tmp_path / "report")
+    args = ["--config", str(file), "--out", out, "--as-of", "2026-01-14"]
+    written = main(args)
+    assert (written.rows, written.by_status["CONFIRM"]) == (2, 1)
+    assert "CONFIRM: 1 | NOT MATCH: 0 | MINIMUM NOT MET: 1" in capsys.readouterr().out
+    del config["feeds"]["ovo"]
+    file.write_text(json.dumps(config))
+    with pytest.raises(ValueError, match="ovo"):
+        main(args)
+
+
 def test_window_status_counts_and_reading_order(spark):
     rows = report(spark, (day(5), 2, "CONFIRM"), (day(6), 2, "NOT MATCH"), (day(6), 1, "CONFIRM"))
     assert {tuple(r) for r in status_counts(rows).collect()} == {("CONFIRM", 2), ("NOT MATCH", 1)}

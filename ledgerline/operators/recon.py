@@ -3,7 +3,8 @@
 Thirteen feeds reach the ledger by only three routes: the issuer reference, the
 external reference, and the card approval code. Every feed is reduced to its
 distinct (key, date) pairs, the feeds of a route are united, and each route is
-one left join that cannot multiply rows.
+one left join that cannot multiply rows. The card route is resolved to
+transaction ids first.
 """
 
 from collections.abc import Callable, Iterable, Mapping
@@ -27,10 +28,6 @@ ISSUER_REF = "issuer_ref"
 APPROVAL = "approval"
 EXTREF = "extref"
 
-# Ledger column each route is looked up by; the approval route goes through the transaction id.
-LEDGER_KEY = {ISSUER_REF: "issuer_txn_ref", EXTREF: "txn_extref"}
-
-
 def _text(c: Column) -> Column:
     return c.cast("string")
 
@@ -105,20 +102,56 @@ def best_keys(keys: DataFrame) -> DataFrame:
     )
 
 
+def known_card_refs(transactions: DataFrame, card_refs: DataFrame, params: Params) -> DataFrame:
+    """Recent card references of recent transactions: (trx_id, approval_code)."""
+    first_day = params.days_back(params.reference_days)
+    refs = card_refs.where(since("transaction_date", first_day)).select(
+        _text(F.col("yt_ref")).alias("trx_id"), "approval_code"
+    )
+    known = transactions.where(since("trx_date", first_day)).select("trx_id")
+    return refs.join(known, "trx_id", "left_semi")
+
+
 def card_keys(
     approval_keys: DataFrame, transactions: DataFrame, card_refs: DataFrame, params: Params
 ) -> DataFrame:
     """The approval route re-keyed by transaction id, so the ledger needs no card columns.
 
-    Starts from the smallest input, the feed. A transaction may have several
+    Starts from the distinct keys of the feed. A transaction may have several
     approval codes; any of them counts.
     """
-    first_day = params.days_back(params.reference_days)
-    refs = card_refs.where(since("transaction_date", first_day)).select(
-        _text(F.col("yt_ref")).alias("trx_id"), F.col("approval_code").alias("match_key")
+    refs = known_card_refs(transactions, card_refs, params)
+    held = approval_keys.distinct().select(
+        held_key(F.col("match_key")).alias("_key"), "feed_date", "priority", "reported_key"
     )
-    known = transactions.where(since("trx_date", first_day)).select("trx_id")
-    return approval_keys.join(refs, "match_key").join(known, "trx_id", "left_semi").drop("match_key")
+    return (
+        refs.withColumn("_key", held_key(F.col("approval_code")))
+        .join(held, "_key")
+        .select(F.col("trx_id").alias("match_key"), "feed_date", "priority", "reported_key")
+    )
+
+
+def ledger_side(route: str) -> Column:
+    """What the ledger is looked up by: a reference, or the transaction id for the card route."""
+    if route == APPROVAL:
+        return _text(F.col("credit_trans_trx_id"))
+    return F.col({ISSUER_REF: "issuer_txn_ref", EXTREF: "txn_extref"}[route])
+
+
+def keys_by_route(
+    feeds: Mapping[str, DataFrame],
+    transactions: DataFrame,
+    card_refs: DataFrame,
+    params: Params,
+    specs: Iterable[Feed] = FEEDS,
+) -> dict[str, DataFrame]:
+    """Route -> all its keys, in the form the ledger holds them."""
+    specs = tuple(specs)
+    routes = sorted({spec.route for spec in specs if spec.name in feeds})
+    out = {route: route_keys(feeds, route, params, specs) for route in routes}
+    if APPROVAL in out:
+        out[APPROVAL] = card_keys(out[APPROVAL], transactions, card_refs, params)
+    return out
 
 
 def look_up(rows: DataFrame, keys: DataFrame, key: Column, value: Column, name: str) -> DataFrame:
@@ -138,67 +171,41 @@ def look_up(rows: DataFrame, keys: DataFrame, key: Column, value: Column, name:
     )
 
 
-def flag_matches(
-    rows: DataFrame,
-    feeds: Mapping[str, DataFrame],
-    transactions: DataFrame,
-    card_refs: DataFrame,
-    params: Params,
-    specs: Iterable[Feed] = FEEDS,
-) -> DataFrame:
+def flag_matches(rows: DataFrame, keys: Mapping[str, DataFrame]) -> DataFrame:
     """Add ``is_matched``: some feed holds the row's reference on the same calendar date."""
-    specs = tuple(specs)
-    routes = {spec.route for spec in specs if spec.name in feeds}
     out, flags = rows, []
-    for route in sorted(routes):
-        keys = route_keys(feeds, route, params, specs)
-        if route == APPROVAL:
-            keys = card_keys(distinct_keys(keys), transactions, card_refs, params)
-            keys = keys.select(F.col("trx_id").alias("match_key"), "feed_date")
-            key = _text(F.col("credit_trans_trx_id"))
-        else:
-            key = F.col(LEDGER_KEY[route])
+    for route, route_rows in keys.items():
         flag = f"_by_{route}"
-        out = look_up(out, distinct_keys(keys), key, F.lit(True), flag)
+        out = look_up(out, distinct_keys(route_rows), ledger_side(route), F.lit(True), flag)
         flags.append(flag)
-    matched = F.coalesce(*flags, F.lit(False)) if flags else F.lit(False)
-    return out.withColumn("is_matched", matched).drop(*flags)
+    return out.withColumn("is_matched", F.coalesce(*flags, F.lit(False))).drop(*flags)
 
 
-def settlement_base(
-    rows: DataFrame,
-    feeds: Mapping[str, DataFrame],
-    transactions: DataFrame,
-    card_refs: DataFrame,
-    params: Params,
-    specs: Iterable[Feed] = FEEDS,
-) -> DataFrame:
-    """Add ``mcd_approval_code`` and ``key_join_issuer``, the key of the first feed that matches.
+def with_match_key(rows: DataFrame, keys: Mapping[str, DataFrame], cards: DataFrame) -> DataFrame:
+    """Add ``key_join_issuer``, the key of the first feed that matches, and ``mcd_approval_code``.
 
-    A transaction with several approval codes yields one row per code.
+    One row per ledger row. Of several approval codes the one the feed holds is
+    shown, else the smallest. ``cards`` are the known card references.
     """
-    specs = tuple(specs)
-    first_day = params.days_back(params.reference_days)
-    refs = card_refs.where(since("transaction_date", first_day)).select(
-        _text(F.col("yt_ref")).alias("trx_id"), F.col("approval_code").alias("mcd_approval_code")
-    )
-    known = transactions.where(since("trx_date", first_day)).select("trx_id")
-    cards = refs.join(known, "trx_id", "left_semi").select(
-        held_key(F.col("trx_id")).alias("_key"), "mcd_approval_code"
-    )
-    trx = _text(F.col("credit_trans_trx_id"))
-    out = (
-        rows.withColumn("_key", sought_key(trx, "account_id", "txn_date", "txn_extref"))
-        .join(cards, "_key", "left")
-        .drop("_key")
-    )
-    hits = []
-    for route, column in {**LEDGER_KEY, APPROVAL: "mcd_approval_code"}.items():
+    out, hits = rows, []
+    for route, route_rows in keys.items():
         hit = f"_hit_{route}"
-        keys = best_keys(route_keys(feeds, route, params, specs))
-        out = look_up(out, keys, F.col(column), F.col("hit"), hit)
+        out = look_up(out, best_keys(route_rows), ledger_side(route), F.col("hit"), hit)
         hits.append(hit)
-    return out.withColumn("key_join_issuer", F.least(*hits)["reported_key"]).drop(*hits)
+    codes = (
+        cards.groupBy("trx_id")
+        .agg(F.min("approval_code").alias("_code"))
+        .select(held_key(F.col("trx_id")).alias("_key"), "_code")
+    )
+    trx = sought_key(ledger_side(APPROVAL), "account_id", "txn_date", "txn_extref")
+    by_feed = [F.col(f"_hit_{APPROVAL}.reported_key")] if APPROVAL in keys else []
+    return (
+        out.withColumn("_key", trx)
+        .join(codes, "_key", "left")
+        .withColumn("mcd_approval_code", F.coalesce(*by_feed, "_code"))
+        .withColumn("key_join_issuer", F.least(*hits)["reported_key"])
+        .drop("_key", "_code", *hits)
+    )
 
 
 def split_by_match(rows: DataFrame) -> DataFrame:

@@ -17,7 +17,7 @@ from ledgerline.operators.daily import (
 )
 from ledgerline.operators.ledger import prune_accounts, signed_ledger
 from ledgerline.operators.pick import deduplicate_transactions
-from ledgerline.operators.recon import flag_matches
+from ledgerline.operators.recon import flag_matches, keys_by_route
 from ledgerline.operators.report import report_rows
 from ledgerline.plans.calendar import settlement_calendar
 from ledgerline.plans.params import Params
@@ -25,6 +25,10 @@ from ledgerline.plans.rates import merchant_dimension, referral_in_scope
 from ledgerline.sources.inputs import Inputs
 
 
+def match_keys(inputs: Inputs, params: Params) -> dict[str, DataFrame]:
+    return keys_by_route(inputs.feeds, inputs.transactions, inputs.card_refs, params)
+
+
 def matched_rows(inputs: Inputs, params: Params) -> DataFrame:
     """De-duplicated ledger rows with their match flag, reduced to the columns read later."""
     rows = signed_ledger(prune_accounts(inputs.ledger, inputs.merchants, params), params).select(
@@ -37,7 +41,7 @@ def matched_rows(inputs: Inputs, params: Params) -> DataFrame:
         "txn_extref",
         "amount_base",
     )
-    flagged = flag_matches(rows, inputs.feeds, inputs.transactions, inputs.card_refs, params)
+    flagged = flag_matches(rows, match_keys(inputs, params))
     return deduplicate_transactions(flagged.drop("issuer_txn_ref", "txn_extref"))
 
 

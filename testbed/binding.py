@@ -9,6 +9,7 @@ overlap; a feed's timestamp runs five hours late, so that transactions from
 
 from datetime import date, timedelta
 from decimal import Decimal
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -67,6 +68,7 @@ SCHEMAS = {
 }
 
 
+@lru_cache(maxsize=16)
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 

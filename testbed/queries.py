@@ -73,7 +73,7 @@ def dedup_transactions(spark, sf_dir):
     inputs = b.inputs(spark, sf_dir)
     rows = ledger.signed_ledger(b.duplicated_ledger(spark, sf_dir), PARAMS)
     rows = rows.join(_scope(spark, sf_dir).select("account_id"), "account_id", "left_semi")
-    flagged = recon.flag_matches(rows, inputs.feeds, inputs.transactions, inputs.card_refs, PARAMS)
+    flagged = recon.flag_matches(rows, settlement.match_keys(inputs, PARAMS))
     return pick.deduplicate_transactions(flagged).select(
         "account_id", "credit_trans_trx_id", "trx_date", "merch_name", "is_matched", *_doubles("amount_base")
     )
@@ -89,31 +89,30 @@ def feed_keys(spark, sf_dir):
     return united.withColumn("priority", F.col("priority").cast("bigint")).distinct()
 
 
-def card_approval_keys(spark, sf_dir):
-    keys = recon.route_keys(b.feeds(spark, sf_dir), recon.APPROVAL, PARAMS)
-    cards = recon.card_keys(
-        recon.distinct_keys(keys), b.transactions(spark, sf_dir), b.card_refs(spark, sf_dir), PARAMS
+def _found_by(spark, sf_dir, route: str) -> DataFrame:
+    keys = settlement.match_keys(b.inputs(spark, sf_dir), PARAMS)[route]
+    best, shown = recon.best_keys(keys), F.col("hit.reported_key")
+    rows = recon.look_up(_signed(spark, sf_dir), best, recon.ledger_side(route), shown, "key_found")
+    return rows.where("key_found is not null").select(
+        "account_id", "credit_trans_trx_id", "trx_date", "key_found"
     )
-    return cards.select("trx_id", "feed_date").distinct()
 
 
-def _found_by(route: str) -> Query:
-    def run(spark, sf_dir):
-        keys = recon.best_keys(recon.route_keys(b.feeds(spark, sf_dir), route, PARAMS))
-        key = F.col(recon.LEDGER_KEY[route])
-        rows = recon.look_up(_signed(spark, sf_dir), keys, key, F.col("hit.reported_key"), "key_found")
-        return rows.where("key_found is not null").select(
-            "account_id", "credit_trans_trx_id", "trx_date", "key_found"
-        )
+def recon_issuer_ref_match(spark, sf_dir):
+    return _found_by(spark, sf_dir, recon.ISSUER_REF)
+
 
-    return run
+def recon_extref_match(spark, sf_dir):
+    return _found_by(spark, sf_dir, recon.EXTREF)
 
 
 def recon_approval_match(spark, sf_dir):
-    cards = card_approval_keys(spark, sf_dir).withColumnRenamed("trx_id", "match_key")
-    key = F.col("credit_trans_trx_id").cast("string")
-    rows = recon.look_up(_signed(spark, sf_dir), cards, key, F.lit(True), "found")
-    return rows.where("found").select("account_id", "credit_trans_trx_id", "trx_date")
+    return _found_by(spark, sf_dir, recon.APPROVAL)
+
+
+def card_approval_keys(spark, sf_dir):
+    keys = settlement.match_keys(b.inputs(spark, sf_dir), PARAMS)[recon.APPROVAL]
+    return keys.select(F.col("match_key").alias("trx_id"), "feed_date", "reported_key").distinct()
 
 
 def recon_key_first_match(spark, sf_dir):
@@ -309,13 +308,10 @@ QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         ledger_window, signed_amount_daily, merchant_rates, referral_filter_null_safe, dedup_transactions,
-        feed_keys, card_approval_keys, recon_approval_match, recon_key_first_match, base_projection, match_split,
+        feed_keys, card_approval_keys, recon_issuer_ref_match, recon_extref_match, recon_approval_match, recon_key_first_match, base_projection, match_split,
         voucher_rows, voucher_next_day, first_transaction_of_day, midnight_weekday_amount, day_measures, holiday_carry,
         calendar_last_working_day, daily_matched_unmatched, account_day_spine, rate_fill, ops_balance_first,
         account_day_balances, settlement_batches, carry_over, settlement_amounts, settlement_status,
         unmatched_totals, bank_pick, settlement_report, report_from_extracts, extract_row_counts, status_summary, report_sink_rows, report_replace_window,
     )
-} | {
-    "recon_issuer_ref_match": _found_by(recon.ISSUER_REF),
-    "recon_extref_match": _found_by(recon.EXTREF),
 }

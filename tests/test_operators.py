@@ -193,16 +193,18 @@ RAW_KEYS = {
 REPORTED = {"linkaja_mcd": "APP", "bni": "000000000077", "ovo": "123456789012345678", "btn": "77"}
 
 
-def recon_inputs(spark, present, feed_day=6):
-    """All feeds, of which only those in ``present`` hold the transaction."""
+def recon_keys(spark, present, feed_day=6, trx="9"):
+    """Keys and card references of all feeds, of which only those in ``present`` hold the transaction."""
     feeds = {}
     for spec in recon.FEEDS:
         kind = "bigint" if spec.name == "btn" else "string"
         rows = [(RAW_KEYS[spec.name], noon(feed_day))] * 2 if spec.name in present else []
         feeds[spec.name] = spark.createDataFrame(rows, f"{spec.key} {kind}, {spec.timestamp} timestamp_ntz")
-    transactions = spark.createDataFrame([("9", noon(6))] * 2, schemas.TRANSACTIONS)
-    refs = [("9", "APP", noon(6)), ("9", "OTHER", noon(6))]
-    return feeds, transactions, spark.createDataFrame(refs, schemas.CARD_REFS)
+    transactions = spark.createDataFrame([(trx, noon(6))] * 2, schemas.TRANSACTIONS)
+    refs = [("9", "APP", noon(6)), ("9", "APP", noon(6)), ("9", "AAA", noon(6))]
+    refs = spark.createDataFrame(refs, schemas.CARD_REFS)
+    cards = recon.known_card_refs(transactions, refs, PARAMS)
+    return recon.keys_by_route(feeds, transactions, refs, PARAMS), cards
 
 
 def recon_row(spark, issuer_ref="ISS"):
@@ -213,40 +215,46 @@ def recon_row(spark, issuer_ref="ISS"):
 @pytest.mark.parametrize("feed", [f.name for f in recon.FEEDS])
 def test_every_feed_matches_on_its_own(spark, feed):
     row = recon_row(spark, "123456789012345678" if feed == "ovo" else "ISS")
-    inputs = recon_inputs(spark, {feed})
-    assert values(recon.flag_matches(row, *inputs, PARAMS), "is_matched") == [(True,)]
-    keys = values(recon.settlement_base(row, *inputs, PARAMS), "mcd_approval_code", "key_join_issuer")
-    shown = REPORTED.get(feed, RAW_KEYS[feed])
-    if feed == "linkaja_mcd":  # only the row of the approval code that matched
-        assert sorted(keys) == [("APP", shown), ("OTHER", None)]
-    else:
-        assert sorted(keys) == [("APP", shown), ("OTHER", shown)]
+    keys, cards = recon_keys(spark, {feed})
+    assert values(recon.flag_matches(row, keys), "is_matched") == [(True,)]
+    got = values(recon.with_match_key(row, keys, cards), "mcd_approval_code", "key_join_issuer")
+    # The approval code the feed holds, else the smallest; duplicate keys and codes add no rows.
+    code = "APP" if feed == "linkaja_mcd" else "AAA"
+    assert got == [(code, REPORTED.get(feed, RAW_KEYS[feed]))]
 
 
-def test_key_comes_from_the_first_feed_in_order(spark):
-    row = recon_row(spark)
-    all_but = recon_inputs(spark, {f.name for f in recon.FEEDS} - {"linkaja_msme", "linkaja_expansion"})
-    got = dict(values(recon.settlement_base(row, *all_but, PARAMS), "mcd_approval_code", "key_join_issuer"))
-    assert got == {"APP": "APP", "OTHER": "000000000077"}
-    flagged = recon.flag_matches(row, *all_but, PARAMS)
-    assert flagged.count() == 1, "duplicate feed rows and several approval codes add no rows"
+@pytest.mark.parametrize(
+    "without, expected",
+    [
+        ((), "ISS"),
+        (("linkaja_msme",), "APP"),
+        (("linkaja_msme", "linkaja_mcd"), "ISS"),
+        (("linkaja_msme", "linkaja_mcd", "linkaja_expansion"), "000000000077"),
+    ],
+)
+def test_key_comes_from_the_first_feed_in_order(spark, without, expected):
+    keys, cards = recon_keys(spark, {f.name for f in recon.FEEDS} - set(without))
+    got = recon.with_match_key(recon_row(spark), keys, cards)
+    assert values(got, "key_join_issuer") == [(expected,)]
 
 
 def test_another_date_or_a_null_key_does_not_match(spark):
     everywhere = {f.name for f in recon.FEEDS}
     row = recon_row(spark)
-    assert values(recon.flag_matches(row, *recon_inputs(spark, everywhere, 7), PARAMS), "is_matched") == [(False,)]
+    next_day, _ = recon_keys(spark, everywhere, 7)
+    assert values(recon.flag_matches(row, next_day), "is_matched") == [(False,)]
     bare = row.withColumns(
         {n: F.lit(None).cast("string") for n in ("issuer_txn_ref", "txn_extref")}
     ).withColumn("credit_trans_trx_id", F.lit(None).cast("bigint"))
-    assert values(recon.flag_matches(bare, *recon_inputs(spark, everywhere), PARAMS), "is_matched") == [(False,)]
+    same_day, cards = recon_keys(spark, everywhere)
+    assert values(recon.flag_matches(bare, same_day), "is_matched") == [(False,)]
+    got = recon.with_match_key(bare, same_day, cards)
+    assert values(got, "key_join_issuer", "mcd_approval_code") == [(None, None)]
 
 
 def test_card_route_needs_a_known_transaction(spark):
-    feeds, _, refs = recon_inputs(spark, {"linkaja_mcd"})
-    unknown = spark.createDataFrame([("8", noon(6))], schemas.TRANSACTIONS)
-    got = recon.flag_matches(recon_row(spark), feeds, unknown, refs, PARAMS)
-    assert values(got, "is_matched") == [(False,)]
+    keys, _ = recon_keys(spark, {"linkaja_mcd"}, trx="8")
+    assert values(recon.flag_matches(recon_row(spark), keys), "is_matched") == [(False,)]
 
 
 def test_match_split(spark):

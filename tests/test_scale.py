@@ -3,7 +3,6 @@
 import re
 from contextlib import contextmanager
 from dataclasses import replace
-from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -94,36 +93,29 @@ def test_one_row_per_key_is_cut_down_before_the_shuffle(spark):
 
 def hot_books(spark, n=20000):
     """A third of the ledger is copies of one row, a third one account without ids, the rest ordinary."""
-    spec = "X", "Customer Purchase", Decimal(10)
-    one = spark.createDataFrame(
-        [(100, "m", "Shop", noon(6), *spec, 1, "hot", "hot", None, None)], schemas.LEDGER
-    )
-    copies = one.crossJoin(spark.range(n).select("id")).drop("id")
-    ids = spark.range(n)
-    no_id = one.drop("credit_trans_trx_id", "issuer_txn_ref", "txn_extref").crossJoin(ids).select(
-        F.lit(200).cast("bigint").alias("account_id"), "merchant_id", "merch_name",
-        F.expr("txn_date + make_dt_interval(0, 0, 0, id % 3600)").alias("txn_date"), "issuer", "txn_type", "amt",
-        F.lit(None).cast("bigint").alias("credit_trans_trx_id"), F.lit(None).cast("string").alias("issuer_txn_ref"),
-        F.lit(None).cast("string").alias("txn_extref"), "txn_ref", "terminal_id",
-    )
-    plain = one.drop("credit_trans_trx_id", "txn_extref").crossJoin(ids).select(
-        (F.col("id") % 50 + 300).alias("account_id"), "merchant_id", "merch_name", "txn_date", "issuer", "txn_type",
-        "amt", (F.col("id") + 10).alias("credit_trans_trx_id"), "issuer_txn_ref",
-        F.concat(F.lit("r"), F.col("id")).alias("txn_extref"), "txn_ref", "terminal_id",
-    ).withColumn("issuer_txn_ref", F.lit(None).cast("string"))
-    ledger = copies.unionByName(no_id).unionByName(plain)
-    feed = plain.where("credit_trans_trx_id % 2 = 0").select(
-        F.col("txn_extref").alias("transaction_id"), F.col("txn_date").alias("create_time")
-    )
-    hot_feed = one.crossJoin(ids).select(
-        F.col("txn_extref").alias("transaction_id"), F.col("txn_date").alias("create_time")
-    )
+    null = "cast(null as {})".format
+    noon_6 = "timestamp_ntz '2026-01-06 12:00:00'"
+
+    def rows(account, at, trx_id, extref):
+        df = spark.range(n).selectExpr(
+            f"{account} as account_id", "'m' as merchant_id", "'Shop' as merch_name", f"{at} as txn_date",
+            "'X' as issuer", "'Customer Purchase' as txn_type", "10 as amt", f"{trx_id} as credit_trans_trx_id",
+            f"{null('string')} as issuer_txn_ref", f"{extref} as txn_extref", "'t' as txn_ref", "'t' as terminal_id",
+        )
+        return schemas.conform(df, schemas.LEDGER)
+
+    copies = rows("100", noon_6, "1", "'hot'")
+    no_id = rows("200", f"{noon_6} + make_dt_interval(0, 0, 0, id % 3600)", null("bigint"), null("string"))
+    plain = rows("300 + id % 50", noon_6, "id + 10", "concat('r', id)")
+
+    def feed(df):
+        return df.selectExpr("txn_extref as transaction_id", "txn_date as create_time")
+
     merchants = [(a, "R1", "t", 1) for a in [100, 200, *range(300, 350)]]
-    base = Books(spine_anchor=False).inputs(spark)
     return replace(
-        base,
-        ledger=ledger,
-        feeds={"shopeepay": feed.unionByName(hot_feed)},
+        Books(spine_anchor=False).inputs(spark),
+        ledger=copies.unionByName(no_id).unionByName(plain),
+        feeds={"shopeepay": feed(copies).unionByName(feed(plain.where("credit_trans_trx_id % 2 = 0")))},
         merchants=spark.createDataFrame(merchants, schemas.MERCHANTS),
     )
 
@@ -176,7 +168,22 @@ def test_hot_reference_is_split_over_several_tasks(spark):
     assert re.search(r"SortMergeJoin\(skew=true\) \[_key", text)
 
 
-def test_cut_needs_a_shared_folder_and_survives_as_files(spark):
+def test_a_cluster_must_name_a_checkpoint_folder():
+    class Context:
+        master = "spark://host"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+        conf = {}
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        settlement.shared_folder(Session())
+
+
+def test_cut_reads_from_the_checkpoint(spark):
     df = settlement.cut(spark.range(10))
     assert df.count() == 10
     folder = spark.sparkContext.getCheckpointDir()

@@ -10,11 +10,8 @@ from ledgerline.plans.rates import in_scope, referral_in_scope
 
 def ledger_since(ledger: DataFrame, days: int, params: Params) -> DataFrame:
     """Ledger rows of the last ``days`` days, without the excluded accounts."""
-    first_day = params.days_back(days)
-    rows = ledger.where(since("txn_date", first_day))
-    if params.ledger_partition_column:
-        rows = rows.where(F.col(params.ledger_partition_column) >= F.lit(first_day))
-    return rows.where(~F.col("account_id").isin(*params.excluded_accounts))
+    recent = ledger.where(since("txn_date", params.days_back(days)))
+    return recent.where(~F.col("account_id").isin(*params.excluded_accounts))
 
 
 def signed_ledger(ledger: DataFrame, params: Params) -> DataFrame:

@@ -25,15 +25,15 @@ def run(inputs: Inputs, params: Params, path: str) -> Written:
 
 def main(argv: Sequence[str] | None = None) -> Written:
     parser = argparse.ArgumentParser(description="Daily merchant settlement")
-    parser.add_argument("--config", required=True, help="JSON with tables, feeds, and optionally rename")
+    parser.add_argument("--config", required=True, help="JSON: tables, feeds, and optionally rename, stored_by")
     parser.add_argument("--out", required=True, help="folder of the report table")
     parser.add_argument("--as-of", type=date.fromisoformat, default=None, help="run date, default today")
     args = parser.parse_args(argv)
 
     config = json.loads(Path(args.config).read_text())
     spark = SparkSession.builder.appName("settlement").getOrCreate()
-    inputs = read_inputs(spark, config["tables"], config["feeds"], config.get("rename"))
-    written = run(inputs, Params(as_of=args.as_of or date.today()), args.out)
+    params = Params(as_of=args.as_of or date.today())
+    written = run(read_inputs(spark, params=params, **config), params, args.out)
     print(f"{written.rows} rows on {len(written.dates)} settle dates")
     print(" | ".join(f"{status}: {n}" for status, n in written.by_status.items()))
     return written

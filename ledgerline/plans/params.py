@@ -36,15 +36,22 @@ class Params:
     excluded_referrals: tuple = house.EXCLUDED_REFERRALS
     voucher_issuers: tuple = house.VOUCHER_ISSUERS
 
-    # A date column the ledger is stored by, if any: adds a partition filter.
-    ledger_partition_column: str | None = None
-
     # The account list is broadcast only when counted to be at most this long (8-byte keys).
     account_broadcast_rows: int = 2_000_000
 
     def days_back(self, days: int) -> date:
         return self.as_of - timedelta(days=days)
 
+    def first_day(self, table: str) -> date:
+        """Earliest day that any operator reads of a table; feeds go by the ledger window."""
+        days = {
+            "ledger": max(self.ledger_days, self.weekday_opening_days),
+            "transactions": self.reference_days,
+            "card_refs": self.reference_days,
+            "ops_balances": self.ops_days,
+        }
+        return self.days_back(days.get(table, self.ledger_days))
+
     @property
     def report_from(self) -> date:
         return self.days_back(self.report_days)

@@ -4,9 +4,11 @@ from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ledgerline.operators.recon import FEEDS
 from ledgerline.plans.calendar import holiday_table
+from ledgerline.plans.params import Params
 from ledgerline.plans.rates import rate_card
 from ledgerline.sources import schemas
 
@@ -38,23 +40,35 @@ def conform_inputs(
     spark: SparkSession,
     tables: Mapping[str, DataFrame],
     feeds: Mapping[str, DataFrame],
+    params: Params,
     rename: Mapping[str, Mapping[str, str]] | None = None,
+    stored_by: Mapping[str, str] | None = None,
 ) -> Inputs:
     """Bind source tables to the declared schemas.
 
     ``tables`` holds the declared tables by name, optionally with ``rates`` and
     ``public_holidays``; without them the house rules alone apply. All feeds must
     be there: a feed left out would make its transactions look unmatched.
-    ``rename`` maps table -> {declared column: source column}.
+    ``rename`` maps table -> {declared column: source column}. ``stored_by`` maps
+    a table or feed to the date column it is partitioned by, which holds the date
+    of its timestamp; partitions before the table's window are then not listed.
     """
     wanted = {feed.name for feed in FEEDS}
     if set(feeds) != wanted:
         raise ValueError(f"missing feeds {wanted - set(feeds)}, unknown feeds {set(feeds) - wanted}")
-    rename = rename or {}
-    bound = {n: schemas.conform(tables[n], s, rename.get(n)) for n, s in DECLARED.items()}
+    rename, stored_by = rename or {}, stored_by or {}
+
+    def recent(name: str, df: DataFrame) -> DataFrame:
+        if name not in stored_by:
+            return df
+        return df.where(F.col(stored_by[name]) >= F.lit(params.first_day(name)))
+
+    bound = {
+        n: schemas.conform(recent(n, tables[n]), schema, rename.get(n)) for n, schema in DECLARED.items()
+    }
     rates = tables.get("rates")
     return Inputs(
-        feeds=dict(feeds),
+        feeds={n: recent(n, df) for n, df in feeds.items()},
         holidays=holiday_table(spark, tables.get("public_holidays")),
         rates=rate_card(spark) if rates is None else schemas.conform(rates, schemas.RATES),
         **bound,
@@ -65,7 +79,9 @@ def read_inputs(
     spark: SparkSession,
     tables: Mapping[str, str],
     feeds: Mapping[str, str],
+    params: Params,
     rename: Mapping[str, Mapping[str, str]] | None = None,
+    stored_by: Mapping[str, str] | None = None,
     fmt: str = "parquet",
 ) -> Inputs:
     """Like :func:`conform_inputs`, from locations: a path where there is a ``/``, else a table name."""
@@ -79,5 +95,7 @@ def read_inputs(
         spark,
         {n: load(x) for n, x in tables.items()},
         {n: load(x) for n, x in feeds.items()},
+        params,
         rename,
+        stored_by,
     )

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ledgerline.operators import amounts, batches, pick, recon
 from ledgerline.plans import settlement
 from ledgerline.sources import schemas
+from ledgerline.sources.inputs import DECLARED, conform_inputs
 from testbed import binding
 from testbed.queries import QUERIES
 from tests.books import PARAMS, Books, noon
@@ -63,14 +64,26 @@ def test_window_filter_and_columns_reach_the_scan(spark):
     assert {c.split(":")[0] for c in schema.split(",")} == {"ts", "user_id", "value", "props"}
 
 
-def test_partition_column_adds_a_filter_to_the_scan(spark, tmp_path):
-    path = str(tmp_path / "ledger")
-    books = Books().row(6, 100)
-    stored = books.inputs(spark).ledger.withColumn("day", F.to_date("txn_date"))
-    stored.write.partitionBy("day").parquet(path)
-    params = replace(PARAMS, ledger_partition_column="day")
-    text = plan(amounts.signed_daily(spark.read.parquet(path), params))
-    assert re.search(r"PartitionFilters: \[[^\]]*day#\d+ >= 2025-12-29", text)
+def test_tables_stored_by_date_are_pruned(spark, tmp_path):
+    inputs = Books().row(6, 100).balance(7, 100).inputs(spark)
+    clock = {"ledger": "txn_date", "transactions": "trx_date", "ops_balances": "processed_dttm"}
+    tables, feeds = {n: getattr(inputs, n) for n in DECLARED}, {}
+    tables["transactions"] = spark.createDataFrame([("1", noon(6))], schemas.TRANSACTIONS)
+    for name, column in clock.items():
+        path = str(tmp_path / name)
+        tables[name].withColumn("dt", F.to_date(column)).write.partitionBy("dt").parquet(path)
+        tables[name] = spark.read.parquet(path)
+    for spec in recon.FEEDS:
+        empty = spark.createDataFrame([], f"{spec.key} string, {spec.timestamp} timestamp_ntz")
+        feeds[spec.name] = inputs.feeds.get(spec.name, empty).withColumn("dt", F.to_date(spec.timestamp))
+    stored = dict.fromkeys([*clock, *feeds], "dt")
+    bound = conform_inputs(spark, tables, feeds, PARAMS, stored_by=stored)
+    for name, first_day in (("ledger", "2025-12-15"), ("transactions", "2025-11-10"), ("ops_balances", "2025-10-31")):
+        text = plan(getattr(bound, name))
+        assert re.search(rf"PartitionFilters: \[[^\]]*dt#\d+ >= {first_day}", text)
+    rates = replace(bound, rates=inputs.rates, holidays=inputs.holidays)
+    expected = rows_of(settlement.settlement_report(inputs, PARAMS))
+    assert rows_of(settlement.settlement_report(rates, PARAMS)) == expected
 
 
 def test_walk_is_one_exchange_and_one_sort(spark):

@@ -1,6 +1,6 @@
 """Column expressions: money, signs, windows in time, match-key forms."""
 
-from datetime import date, datetime, time, timedelta
+from datetime import date, timedelta
 from decimal import Decimal
 
 from pyspark.sql import Column
@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.plans import fixed_values as house
 
-AMOUNT = "decimal(18,4)"  # one transaction; fits a long, so sums stay cheap
+AMOUNT = "decimal(18,4)"  # one transaction; fits a long
 MONEY = "decimal(20,4)"  # totals
 RATE = "decimal(5,4)"
 FEE = "decimal(28,8)"  # money x rate, exact
@@ -35,7 +35,7 @@ def signed_amount(txn_type: str = "txn_type", amt: str = "amt") -> Column:
 
 def since(ts: str, first_day: date) -> Column:
     """``ts`` falls on ``first_day`` or later; a plain comparison, so it reaches the scan."""
-    return F.col(ts) >= F.lit(datetime.combine(first_day, time())).cast("timestamp_ntz")
+    return F.col(ts) >= F.lit(first_day).cast("timestamp_ntz")
 
 
 def shortly_after_midnight(ts: str, until: timedelta) -> Column:

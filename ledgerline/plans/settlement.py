@@ -54,17 +54,20 @@ def daily(inputs: Inputs, params: Params) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The checkpoint folder: the one in use, else the one ``spark.checkpoint.dir`` names.
+    """The checkpoint folder: the one ``spark.checkpoint.dir`` names, else the one in use.
 
     Only a local master, where driver and executors are one process, may do
     without and gets a temporary folder.
     """
     context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        named = spark.conf.get("spark.checkpoint.dir", None)
-        if named is None and not context.master.startswith("local"):
+    current = context.getCheckpointDir()
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named and named.rstrip("/") not in (current or ""):
+        context.setCheckpointDir(named)
+    elif current is None:
+        if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="checkpoint-"))
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="checkpoint-"))
     return context.getCheckpointDir()
 
 

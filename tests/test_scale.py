@@ -50,6 +50,12 @@ def test_report_without_broadcast_joins_is_the_same(spark):
         assert rows_of(settlement.settlement_report(inputs, LATE_PRUNING)) == expected
 
 
+def test_report_does_not_depend_on_the_session_time_zone(spark):
+    expected = rows_of(settlement.settlement_report(binding.inputs(spark, SMALL), binding.PARAMS))
+    with settings(spark, spark__sql__session__timeZone="Asia/Jakarta"):
+        assert rows_of(settlement.settlement_report(binding.inputs(spark, SMALL), binding.PARAMS)) == expected
+
+
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - {"report_replace_window"}))
 def test_no_cartesian_joins_and_no_python_in_any_plan(spark, name):
     text = plan(QUERIES[name](spark, SMALL))

@@ -74,16 +74,21 @@ def date_bounds(daily: DataFrame) -> tuple[date, date] | None:
     return None if low is None else (low, high)
 
 
+def spine_bounds(daily: DataFrame, params: Params) -> tuple[date, date]:
+    """First active day, and the end of the tail after the last one."""
+    first, last = date_bounds(daily) or (params.as_of, params.as_of)
+    return first, last + timedelta(days=params.spine_tail_days)
+
+
 def account_spine(daily: DataFrame, first: date, last: date) -> DataFrame:
     """Every account on every day, named as on its last active day (which may be null)."""
     accounts = daily.groupBy("account_id").agg(F.max_by("merch_name", "balance_date").alias("merch_name"))
     return accounts.withColumn("balance_date", F.explode(F.sequence(F.lit(first), F.lit(last))))
 
 
-def spine_days(daily: DataFrame, first: date, last: date, params: Params) -> DataFrame:
-    """The spine up to the tail after the last active day, with the daily sums where there are any."""
-    tail = last + timedelta(days=params.spine_tail_days)
-    spine = account_spine(daily, first, tail).withColumnRenamed("merch_name", "_last_name")
+def spine_days(daily: DataFrame, first: date, last: date) -> DataFrame:
+    """The spine from ``first`` to ``last``, with the daily sums where there are any."""
+    spine = account_spine(daily, first, last).withColumnRenamed("merch_name", "_last_name")
     return (
         spine.join(daily, ["account_id", "balance_date"], "left")
         .withColumn("merch_name", F.coalesce("_last_name", "merch_name"))

@@ -21,7 +21,7 @@ from ledgerline.operators.recon import known_card_refs, with_match_key
 from ledgerline.operators.report import report_rows
 from ledgerline.plans.params import Params
 from ledgerline.plans.rates import merchant_dimension, referral_in_scope
-from ledgerline.plans.settlement import cut, lay_out, match_keys, recent_ops
+from ledgerline.plans.settlement import cut, last_reported_day, lay_out, match_keys, recent_ops
 from ledgerline.sources.inputs import Inputs
 
 
@@ -128,5 +128,6 @@ def measures_of(given: Extracts) -> DataFrame:
 
 def report_from_extracts(given: Extracts, holidays: DataFrame, params: Params) -> DataFrame:
     totals = cut(daily_totals_of_priced_rows(settled_rows(given.base, params), params))
-    days = lay_out(totals, measures_of(given), given.ops_balances, holidays, params)
+    until = last_reported_day(params)
+    days = lay_out(totals, measures_of(given), given.ops_balances, holidays, params, until)
     return report_rows(settlements(days, params), given.bank_accounts, params)

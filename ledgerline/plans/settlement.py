@@ -1,7 +1,7 @@
 """The settlement plan: inputs to report."""
 
 import tempfile
-from datetime import timedelta
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -11,8 +11,8 @@ from ledgerline.operators.batches import settlements
 from ledgerline.operators.daily import (
     account_days,
     daily_totals,
-    date_bounds,
     ops_by_balance_date,
+    spine_bounds,
     spine_days,
 )
 from ledgerline.operators.ledger import prune_accounts, signed_ledger
@@ -81,14 +81,20 @@ def cut(df: DataFrame) -> DataFrame:
 
 
 def lay_out(
-    totals: DataFrame, measures: DataFrame, ops: DataFrame, holidays: DataFrame, params: Params
+    totals: DataFrame,
+    measures: DataFrame,
+    ops: DataFrame,
+    holidays: DataFrame,
+    params: Params,
+    until: date | None = None,
 ) -> DataFrame:
-    """The account-day relation over the days that ``totals`` spans, plus the tail."""
-    first, last = date_bounds(totals) or (params.as_of, params.as_of)
-    tail = last + timedelta(days=params.spine_tail_days)
-    calendar = settlement_calendar(holidays, first, tail)
+    """The account-day relation over the days that ``totals`` spans plus the tail, or ``until``."""
+    first, last = spine_bounds(totals, params)
+    if until is not None:
+        last = max(first, min(last, until))
+    calendar = settlement_calendar(holidays, first, last)
     return account_days(
-        spine_days(totals, first, last, params), measures, ops_by_balance_date(ops), calendar, params
+        spine_days(totals, first, last), measures, ops_by_balance_date(ops), calendar, params
     )
 
 
@@ -96,7 +102,7 @@ def recent_ops(ops_balances: DataFrame, params: Params) -> DataFrame:
     return ops_balances.where(since("processed_dttm", params.days_back(params.ops_days)))
 
 
-def days_of(inputs: Inputs, params: Params) -> DataFrame:
+def days_of(inputs: Inputs, params: Params, until: date | None = None) -> DataFrame:
     """The account-day relation.
 
     The daily sums are the end of the large part of the job and are read three
@@ -108,8 +114,18 @@ def days_of(inputs: Inputs, params: Params) -> DataFrame:
         recent_ops(inputs.ops_balances, params),
         inputs.holidays,
         params,
+        until,
     )
 
 
+def last_reported_day(params: Params) -> date:
+    """Batches only look back, so days that settle after ``as_of`` cannot change the report.
+
+    This bounds the spine, also when a ledger row carries a date far in the future.
+    """
+    return params.days_back(1)
+
+
 def settlement_report(inputs: Inputs, params: Params) -> DataFrame:
-    return report_rows(settlements(days_of(inputs, params), params), inputs.bank_accounts, params)
+    days = days_of(inputs, params, last_reported_day(params))
+    return report_rows(settlements(days, params), inputs.bank_accounts, params)

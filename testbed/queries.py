@@ -208,8 +208,8 @@ def daily_matched_unmatched(spark, sf_dir):
 
 def account_day_spine(spark, sf_dir):
     totals = settlement.cut(settlement.daily(b.inputs(spark, sf_dir), PARAMS))
-    first, last = daily.date_bounds(totals)
-    return daily.spine_days(totals, first, last, PARAMS).select(
+    first, last = daily.spine_bounds(totals, PARAMS)
+    return daily.spine_days(totals, first, last).select(
         "account_id", "balance_date", "merch_name", *_doubles("amount_base", "unmatched_amount")
     )
 

@@ -378,18 +378,19 @@ def test_name_is_the_earliest_known_and_the_spine_takes_the_last_active_day(spar
     rates = spark.createDataFrame([(100, Decimal("0.01"))], "account_id bigint, mdr_rate decimal(5,4)")
     totals = daily.daily_totals(rows, rates, PARAMS)
     assert sorted(values(totals, "balance_date", "merch_name")) == [(day(6), "Old"), (day(7), "Newer")]
-    spine = daily.spine_days(totals, day(5), day(7), PARAMS)
+    spine = daily.spine_days(totals, day(5), day(14))
     got = sorted(values(spine, "balance_date", "merch_name", "amount_base"))
     assert [d for d, _, _ in got] == [day(n) for n in range(5, 15)]
     assert {name for _, name, _ in got} == {"Newer"}
     assert daily.date_bounds(totals) == (day(6), day(7))
+    assert daily.spine_bounds(totals, PARAMS) == (day(6), day(14))
 
 
 def test_a_nameless_last_day_falls_back_to_the_name_of_each_day(spark):
     books = Books(spine_anchor=False).row(6, 1, name="Old").row(7, 1, name=None)
     rows = signed_ledger(books.inputs(spark).ledger, PARAMS).withColumn("is_matched", F.lit(True))
     rates = spark.createDataFrame([(100, Decimal("0.01"))], "account_id bigint, mdr_rate decimal(5,4)")
-    spine = daily.spine_days(daily.daily_totals(rows, rates, PARAMS), day(6), day(7), PARAMS)
+    spine = daily.spine_days(daily.daily_totals(rows, rates, PARAMS), day(6), day(14))
     names = dict(values(spine, "balance_date", "merch_name"))
     assert names[day(6)] == "Old" and names[day(7)] is None and names[day(8)] is None
 

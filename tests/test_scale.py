@@ -3,6 +3,7 @@
 import re
 from contextlib import contextmanager
 from dataclasses import replace
+from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
@@ -92,6 +93,16 @@ def test_tables_stored_by_date_are_pruned(spark, tmp_path):
     assert rows_of(settlement.settlement_report(rates, PARAMS)) == expected
 
 
+def test_a_date_far_in_the_future_neither_blows_up_the_report_nor_changes_it(spark):
+    def books():
+        return Books().row(6, 100000).balance(7, 100000)
+
+    stray = books().row(datetime(2999, 12, 31, 12), 5, name="Shop")
+    assert stray.report(spark) == books().report(spark)
+    days = settlement.days_of(stray.inputs(spark), PARAMS, settlement.last_reported_day(PARAMS))
+    assert days.count() == 2 * len(range(5, 14))
+
+
 def test_walk_is_one_exchange_and_one_sort(spark):
     days = settlement.cut(settlement.days_of(binding.inputs(spark, SMALL), binding.PARAMS))
     text = plan(batches.settlements(days.repartition(3), binding.PARAMS))

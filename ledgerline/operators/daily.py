@@ -86,11 +86,28 @@ def account_spine(daily: DataFrame, first: date, last: date) -> DataFrame:
     return accounts.withColumn("balance_date", F.explode(F.sequence(F.lit(first), F.lit(last))))
 
 
-def spine_days(daily: DataFrame, first: date, last: date) -> DataFrame:
-    """The spine from ``first`` to ``last``, with the daily sums where there are any."""
+def lay_on_spine(spine: DataFrame, *sources: DataFrame) -> DataFrame:
+    """The columns of all sources on the rows of the spine.
+
+    The result of left joins on (account_id, balance_date) with sources that are
+    unique on it. Stacking the rows and regrouping them needs one shuffle, by
+    account, for all sources, and the windows per account that follow need none.
+    An account has no more rows here than days times sources.
+    """
+    key = ["account_id", "balance_date"]
+    rows = spine.withColumn("_on_spine", F.lit(True))
+    for source in sources:
+        rows = rows.unionByName(source, allowMissingColumns=True)
+    only = [F.max(c).alias(c) for c in rows.columns if c not in key]
+    laid = rows.repartition("account_id").groupBy(*key).agg(*only)
+    return laid.where("_on_spine").drop("_on_spine")
+
+
+def spine_days(daily: DataFrame, first: date, last: date, *sources: DataFrame) -> DataFrame:
+    """Every account on every day with its daily sums, where there are any, and other sources."""
     spine = account_spine(daily, first, last).withColumnRenamed("merch_name", "_last_name")
     return (
-        spine.join(daily, ["account_id", "balance_date"], "left")
+        lay_on_spine(spine, daily, *sources)
         .withColumn("merch_name", F.coalesce("_last_name", "merch_name"))
         .drop("_last_name")
     )
@@ -130,25 +147,20 @@ def holiday_carry() -> Column:
     return or_zero(latest)
 
 
-def account_days(
-    spine: DataFrame, measures: DataFrame, ops: DataFrame, calendar: DataFrame, params: Params
-) -> DataFrame:
+def account_days(spine: DataFrame, calendar: DataFrame, params: Params) -> DataFrame:
     """One dense row per (account, balance_date) with everything the settlement walk reads.
 
+    ``spine`` holds the daily sums, the ledger measures and the ops balances.
     ``balance_raw`` is the ops balance alone and may be null; ``balance`` adds the
     midnight amount; ``balance_adj`` also adds the holiday carry. A voucher counts
     only on a day on which the account was active.
     """
     active = F.col("amount_base").isNotNull()
-    key = ["account_id", "balance_date"]
-    rows = (
-        spine.join(measures, key, "left")
-        .join(ops, key, "left")
-        .join(F.broadcast(calendar.withColumnRenamed("day", "balance_date")), "balance_date")
-    )
+    rows = spine.join(F.broadcast(calendar.withColumnRenamed("day", "balance_date")), "balance_date")
     is_open = F.col("is_settlement_day")
     return rows.select(
-        *key,
+        "account_id",
+        "balance_date",
         "merch_name",
         filled_rate(params).alias("mdr_rate"),
         or_zero(F.col("amount_base")).alias("amount_base"),

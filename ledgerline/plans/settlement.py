@@ -93,9 +93,8 @@ def lay_out(
     if until is not None:
         last = max(first, min(last, until))
     calendar = settlement_calendar(holidays, first, last)
-    return account_days(
-        spine_days(totals, first, last), measures, ops_by_balance_date(ops), calendar, params
-    )
+    spine = spine_days(totals, first, last, measures, ops_by_balance_date(ops))
+    return account_days(spine, calendar, params)
 
 
 def recent_ops(ops_balances: DataFrame, params: Params) -> DataFrame:

@@ -395,6 +395,14 @@ def test_a_nameless_last_day_falls_back_to_the_name_of_each_day(spark):
     assert names[day(6)] == "Old" and names[day(7)] is None and names[day(8)] is None
 
 
+def test_spine_keeps_its_rows_and_takes_only_matching_sources(spark):
+    spine = spark.createDataFrame([(1, day(5)), (1, day(6))], "account_id bigint, balance_date date")
+    a = spark.createDataFrame([(1, day(5), 10), (2, day(5), 20)], "account_id bigint, balance_date date, a int")
+    b = spark.createDataFrame([(1, day(6), None), (1, day(9), 7)], "account_id bigint, balance_date date, b int")
+    got = daily.lay_on_spine(spine, a, b)
+    assert sorted(values(got, "balance_date", "a", "b")) == [(day(5), 10, None), (day(6), None, None)]
+
+
 def test_rate_fill(spark):
     rows = [(1, day(n), r) for n, r in ((5, None), (6, Decimal("0.02")), (7, None), (8, Decimal("0.03")), (9, None))]
     rows += [(2, day(5), None)]

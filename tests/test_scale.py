@@ -8,7 +8,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerline.operators import amounts, batches, pick, recon
+from ledgerline.operators import amounts, batches, daily, pick, recon
 from ledgerline.plans import settlement
 from ledgerline.sources import schemas
 from ledgerline.sources.inputs import DECLARED, conform_inputs
@@ -103,11 +103,24 @@ def test_a_date_far_in_the_future_neither_blows_up_the_report_nor_changes_it(spa
     assert days.count() == 2 * len(range(5, 14))
 
 
-def test_walk_is_one_exchange_and_one_sort(spark):
-    days = settlement.cut(settlement.days_of(binding.inputs(spark, SMALL), binding.PARAMS))
-    text = plan(batches.settlements(days.repartition(3), binding.PARAMS))
-    assert text.count("Exchange hashpartitioning(account_id") == 1
-    assert text.count("- Sort [") == 1
+def test_spine_and_walk_share_one_exchange_and_one_sort(spark):
+    """From daily sums, measures and ops balances to settled batches: one shuffle by account."""
+
+    def stored(df):
+        return settlement.cut(df)
+
+    inputs = binding.inputs(spark, SMALL)
+    totals = stored(settlement.daily(inputs, binding.PARAMS))
+    first, last = daily.spine_bounds(totals, binding.PARAMS)
+    measures = stored(amounts.day_measures(inputs.ledger, binding.PARAMS))
+    ops = stored(daily.ops_by_balance_date(inputs.ops_balances))
+    accounts = stored(daily.account_spine(totals, first, last)).withColumnRenamed("merch_name", "_last_name")
+    laid = daily.lay_on_spine(accounts, totals, measures, ops)
+    calendar = stored(settlement.settlement_calendar(inputs.holidays, first, last))
+    text = plan(batches.settlements(daily.account_days(laid, calendar, binding.PARAMS), binding.PARAMS))
+    assert text.count("Exchange hashpartitioning") == 1
+    assert text.count("Sort [") == 1
+    assert text.count("Join") == 1  # the calendar
 
 
 def test_one_row_per_key_is_cut_down_before_the_shuffle(spark):

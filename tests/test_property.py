@@ -2,6 +2,7 @@
 
 import random
 from collections import defaultdict
+from dataclasses import replace
 from datetime import date, datetime, time, timedelta
 from decimal import ROUND_HALF_EVEN, Decimal
 
@@ -156,3 +157,18 @@ def test_batch_sums_add_up_to_the_ledger(spark):
     ):
         ledger_sum = sum(signs.get(r[5], 0) * r[6] for r in books.ledger if pick(r[9]))
         assert sum(r[column] for r in settled) == ledger_sum
+
+
+def test_arrival_order_does_not_matter(spark):
+    books = random_books(5)
+    # Several rows under one id, and several without any: a choice has to be made.
+    books.ledger = [(*r[:7], r[7] % 40 if r[7] % 5 else None, *r[8:]) for r in books.ledger]
+
+    def settled(shuffle_seed):
+        shuffled = random_books(5)
+        shuffled.ledger = random.Random(shuffle_seed).sample(books.ledger, len(books.ledger))
+        inputs = shuffled.inputs(spark)
+        inputs = replace(inputs, ledger=inputs.ledger.repartition(shuffle_seed + 2))
+        return sorted(map(str, settlements(days_of(inputs, PARAMS), PARAMS).collect()))
+
+    assert settled(1) == settled(2) == settled(3)

@@ -104,10 +104,14 @@ def lay_on_spine(spine: DataFrame, *sources: DataFrame) -> DataFrame:
 
 
 def spine_days(daily: DataFrame, first: date, last: date, *sources: DataFrame) -> DataFrame:
-    """Every account on every day with its daily sums, where there are any, and other sources."""
+    """Every account on every day with its daily sums, where there are any, and other sources.
+
+    Sources are cut to the days of the spine first; that filter reaches their scans.
+    """
     spine = account_spine(daily, first, last).withColumnRenamed("merch_name", "_last_name")
+    on_days = F.col("balance_date").between(first, last)
     return (
-        lay_on_spine(spine, daily, *sources)
+        lay_on_spine(spine, *[source.where(on_days) for source in (daily, *sources)])
         .withColumn("merch_name", F.coalesce("_last_name", "merch_name"))
         .drop("_last_name")
     )

@@ -102,13 +102,19 @@ def best_keys(keys: DataFrame) -> DataFrame:
     )
 
 
-def known_card_refs(transactions: DataFrame, card_refs: DataFrame, params: Params) -> DataFrame:
-    """Recent card references of recent transactions: (trx_id, approval_code)."""
+def _recent_cards(
+    transactions: DataFrame, card_refs: DataFrame, params: Params
+) -> tuple[DataFrame, DataFrame]:
     first_day = params.days_back(params.reference_days)
     refs = card_refs.where(since("transaction_date", first_day)).select(
         _text(F.col("yt_ref")).alias("trx_id"), "approval_code"
     )
-    known = transactions.where(since("trx_date", first_day)).select("trx_id")
+    return refs, transactions.where(since("trx_date", first_day)).select("trx_id")
+
+
+def known_card_refs(transactions: DataFrame, card_refs: DataFrame, params: Params) -> DataFrame:
+    """Recent card references of recent transactions: (trx_id, approval_code)."""
+    refs, known = _recent_cards(transactions, card_refs, params)
     return refs.join(known, "trx_id", "left_semi")
 
 
@@ -117,16 +123,16 @@ def card_keys(
 ) -> DataFrame:
     """The approval route re-keyed by transaction id, so the ledger needs no card columns.
 
-    Starts from the distinct keys of the feed. A transaction may have several
-    approval codes; any of them counts.
+    Starts from the smallest input, the distinct keys of the feed. A transaction
+    may have several approval codes; any of them counts.
     """
-    refs = known_card_refs(transactions, card_refs, params)
+    refs, known = _recent_cards(transactions, card_refs, params)
     held = approval_keys.distinct().select(
         held_key(F.col("match_key")).alias("_key"), "feed_date", "priority", "reported_key"
     )
     return (
-        refs.withColumn("_key", held_key(F.col("approval_code")))
-        .join(held, "_key")
+        held.join(refs.withColumn("_key", held_key(F.col("approval_code"))), "_key")
+        .join(known, "trx_id", "left_semi")
         .select(F.col("trx_id").alias("match_key"), "feed_date", "priority", "reported_key")
     )
 

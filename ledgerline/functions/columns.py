@@ -1,7 +1,6 @@
 """Column expressions: money, signs, windows in time, match-key forms."""
 
 from datetime import date, timedelta
-from decimal import Decimal
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -15,7 +14,7 @@ FEE = "decimal(28,8)"  # money x rate, exact
 
 
 def zero(of: str = MONEY) -> Column:
-    return F.lit(Decimal(0)).cast(of)
+    return F.lit(0).cast(of)
 
 
 def or_zero(c: Column, of: str = MONEY) -> Column:

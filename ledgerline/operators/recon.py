@@ -102,20 +102,26 @@ def best_keys(keys: DataFrame) -> DataFrame:
     )
 
 
-def _recent_cards(
-    transactions: DataFrame, card_refs: DataFrame, params: Params
-) -> tuple[DataFrame, DataFrame]:
-    first_day = params.days_back(params.reference_days)
-    refs = card_refs.where(since("transaction_date", first_day)).select(
-        _text(F.col("yt_ref")).alias("trx_id"), "approval_code"
-    )
-    return refs, transactions.where(since("trx_date", first_day)).select("trx_id")
+def _recent_refs(card_refs: DataFrame, params: Params) -> DataFrame:
+    recent = since("transaction_date", params.days_back(params.reference_days))
+    return card_refs.where(recent).select(_text(F.col("yt_ref")).alias("trx_id"), "approval_code")
+
+
+def _of_known(rows: DataFrame, transactions: DataFrame, params: Params) -> DataFrame:
+    """Rows whose ``trx_id`` is a recent transaction.
+
+    Both sides arrive summed up per transaction, so neither has a hot key here.
+    """
+    recent = since("trx_date", params.days_back(params.reference_days))
+    return rows.join(transactions.where(recent).select("trx_id").distinct(), "trx_id", "left_semi")
 
 
-def known_card_refs(transactions: DataFrame, card_refs: DataFrame, params: Params) -> DataFrame:
-    """Recent card references of recent transactions: (trx_id, approval_code)."""
-    refs, known = _recent_cards(transactions, card_refs, params)
-    return refs.join(known, "trx_id", "left_semi")
+def approval_codes(transactions: DataFrame, card_refs: DataFrame, params: Params) -> DataFrame:
+    """The smallest approval code of every recent transaction that has one."""
+    codes = _recent_refs(card_refs, params).groupBy("trx_id").agg(
+        F.min("approval_code").alias("approval_code")
+    )
+    return _of_known(codes, transactions, params)
 
 
 def card_keys(
@@ -126,15 +132,13 @@ def card_keys(
     Starts from the smallest input, the distinct keys of the feed. A transaction
     may have several approval codes; any of them counts.
     """
-    refs, known = _recent_cards(transactions, card_refs, params)
     held = approval_keys.distinct().select(
         held_key(F.col("match_key")).alias("_key"), "feed_date", "priority", "reported_key"
     )
-    return (
-        held.join(refs.withColumn("_key", held_key(F.col("approval_code"))), "_key")
-        .join(known, "trx_id", "left_semi")
-        .select(F.col("trx_id").alias("match_key"), "feed_date", "priority", "reported_key")
-    )
+    refs = _recent_refs(card_refs, params).withColumn("_key", held_key(F.col("approval_code")))
+    found = held.join(refs, "_key").withColumnRenamed("trx_id", "match_key")
+    best = best_keys(found).select(F.col("match_key").alias("trx_id"), "feed_date", "hit.*")
+    return _of_known(best, transactions, params).withColumnRenamed("trx_id", "match_key")
 
 
 def ledger_side(route: str) -> Column:
@@ -187,27 +191,25 @@ def flag_matches(rows: DataFrame, keys: Mapping[str, DataFrame]) -> DataFrame:
     return out.withColumn("is_matched", F.coalesce(*flags, F.lit(False))).drop(*flags)
 
 
-def with_match_key(rows: DataFrame, keys: Mapping[str, DataFrame], cards: DataFrame) -> DataFrame:
+def with_match_key(rows: DataFrame, keys: Mapping[str, DataFrame], codes: DataFrame) -> DataFrame:
     """Add ``key_join_issuer``, the key of the first feed that matches, and ``mcd_approval_code``.
 
     One row per ledger row. Of several approval codes the one the feed holds is
-    shown, else the smallest. ``cards`` are the known card references.
+    shown, else the smallest, as ``codes`` has it per transaction.
     """
     out, hits = rows, []
     for route, route_rows in keys.items():
         hit = f"_hit_{route}"
         out = look_up(out, best_keys(route_rows), ledger_side(route), F.col("hit"), hit)
         hits.append(hit)
-    codes = (
-        cards.groupBy("trx_id")
-        .agg(F.min("approval_code").alias("_code"))
-        .select(held_key(F.col("trx_id")).alias("_key"), "_code")
+    held = codes.select(
+        held_key(F.col("trx_id")).alias("_key"), F.col("approval_code").alias("_code")
     )
     trx = sought_key(ledger_side(APPROVAL), "account_id", "txn_date", "txn_extref")
     by_feed = [F.col(f"_hit_{APPROVAL}.reported_key")] if APPROVAL in keys else []
     return (
         out.withColumn("_key", trx)
-        .join(codes, "_key", "left")
+        .join(held, "_key", "left")
         .withColumn("mcd_approval_code", F.coalesce(*by_feed, "_code"))
         .withColumn("key_join_issuer", F.least(*hits)["reported_key"])
         .drop("_key", "_code", *hits)

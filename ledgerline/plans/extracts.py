@@ -17,7 +17,7 @@ from ledgerline.operators.batches import settlements
 from ledgerline.operators.daily import daily_totals_of_priced_rows
 from ledgerline.operators.ledger import signed_ledger, with_merchants
 from ledgerline.operators.pick import deduplicate_transactions
-from ledgerline.operators.recon import known_card_refs, with_match_key
+from ledgerline.operators.recon import approval_codes, with_match_key
 from ledgerline.operators.report import report_rows
 from ledgerline.plans.params import Params
 from ledgerline.plans.rates import merchant_dimension, referral_in_scope
@@ -62,8 +62,8 @@ def base_rows(inputs: Inputs, params: Params) -> DataFrame:
     """Ledger rows in scope with rate and match key, in the layout of the base extract."""
     merchants = merchant_dimension(inputs.merchants, inputs.rates, params)
     rows = with_merchants(signed_ledger(inputs.ledger, params), merchants)
-    cards = known_card_refs(inputs.transactions, inputs.card_refs, params)
-    return with_match_key(rows, match_keys(inputs, params), cards).select(*BASE_COLUMNS)
+    codes = approval_codes(inputs.transactions, inputs.card_refs, params)
+    return with_match_key(rows, match_keys(inputs, params), codes).select(*BASE_COLUMNS)
 
 
 def extracts(inputs: Inputs, params: Params) -> Extracts:

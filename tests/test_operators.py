@@ -194,7 +194,7 @@ REPORTED = {"linkaja_mcd": "APP", "bni": "000000000077", "ovo": "123456789012345
 
 
 def recon_keys(spark, present, feed_day=6, trx="9"):
-    """Keys and card references of all feeds, of which only those in ``present`` hold the transaction."""
+    """Keys of all feeds and the approval codes, of which only those in ``present`` hold the transaction."""
     feeds = {}
     for spec in recon.FEEDS:
         kind = "bigint" if spec.name == "btn" else "string"
@@ -203,8 +203,8 @@ def recon_keys(spark, present, feed_day=6, trx="9"):
     transactions = spark.createDataFrame([(trx, noon(6))] * 2, schemas.TRANSACTIONS)
     refs = [("9", "APP", noon(6)), ("9", "APP", noon(6)), ("9", "AAA", noon(6))]
     refs = spark.createDataFrame(refs, schemas.CARD_REFS)
-    cards = recon.known_card_refs(transactions, refs, PARAMS)
-    return recon.keys_by_route(feeds, transactions, refs, PARAMS), cards
+    codes = recon.approval_codes(transactions, refs, PARAMS)
+    return recon.keys_by_route(feeds, transactions, refs, PARAMS), codes
 
 
 def recon_row(spark, issuer_ref="ISS"):
@@ -215,9 +215,9 @@ def recon_row(spark, issuer_ref="ISS"):
 @pytest.mark.parametrize("feed", [f.name for f in recon.FEEDS])
 def test_every_feed_matches_on_its_own(spark, feed):
     row = recon_row(spark, "123456789012345678" if feed == "ovo" else "ISS")
-    keys, cards = recon_keys(spark, {feed})
+    keys, codes = recon_keys(spark, {feed})
     assert values(recon.flag_matches(row, keys), "is_matched") == [(True,)]
-    got = values(recon.with_match_key(row, keys, cards), "mcd_approval_code", "key_join_issuer")
+    got = values(recon.with_match_key(row, keys, codes), "mcd_approval_code", "key_join_issuer")
     # The approval code the feed holds, else the smallest; duplicate keys and codes add no rows.
     code = "APP" if feed == "linkaja_mcd" else "AAA"
     assert got == [(code, REPORTED.get(feed, RAW_KEYS[feed]))]
@@ -233,8 +233,8 @@ def test_every_feed_matches_on_its_own(spark, feed):
     ],
 )
 def test_key_comes_from_the_first_feed_in_order(spark, without, expected):
-    keys, cards = recon_keys(spark, {f.name for f in recon.FEEDS} - set(without))
-    got = recon.with_match_key(recon_row(spark), keys, cards)
+    keys, codes = recon_keys(spark, {f.name for f in recon.FEEDS} - set(without))
+    got = recon.with_match_key(recon_row(spark), keys, codes)
     assert values(got, "key_join_issuer") == [(expected,)]
 
 
@@ -246,9 +246,9 @@ def test_another_date_or_a_null_key_does_not_match(spark):
     bare = row.withColumns(
         {n: F.lit(None).cast("string") for n in ("issuer_txn_ref", "txn_extref")}
     ).withColumn("credit_trans_trx_id", F.lit(None).cast("bigint"))
-    same_day, cards = recon_keys(spark, everywhere)
+    same_day, codes = recon_keys(spark, everywhere)
     assert values(recon.flag_matches(bare, same_day), "is_matched") == [(False,)]
-    got = recon.with_match_key(bare, same_day, cards)
+    got = recon.with_match_key(bare, same_day, codes)
     assert values(got, "key_join_issuer", "mcd_approval_code") == [(None, None)]
 
 

@@ -1,5 +1,6 @@
 """Plans and results that must hold on large and skewed data."""
 
+import random
 import re
 from contextlib import contextmanager
 from dataclasses import replace
@@ -203,6 +204,35 @@ def test_hot_reference_is_split_over_several_tasks(spark):
     assert re.search(r"SortMergeJoin\(skew=true\) \[_key", text)
 
 
+def test_card_route_equals_brute_force_with_hot_codes_and_ids(spark):
+    """A third of the references share a code, a third share a transaction; ids and keys repeat."""
+    rng = random.Random(7)
+    code, trx = (lambda: f"c{rng.randint(1, 60)}"), (lambda: str(rng.randint(1, 80)))
+    refs = [(trx(), "hot") for _ in range(100)] + [("0", code()) for _ in range(100)]
+    refs += [(trx(), code()) for _ in range(100)] + [(None, "hot"), (trx(), None)]
+    known = ["0"] * 100 + [trx() for _ in range(100)] + [None]
+    feed = [("hot_payment", noon(n)) for n in (6, 7, 8)] * 20
+    feed += [(f"{code()}_payment", noon(rng.randint(5, 9))) for _ in range(60)] + [(None, noon(6))]
+    expected = {
+        (t, at.date())
+        for t, c in refs
+        for key, at in feed
+        if t in known and t is not None and c is not None and key == f"{c}_payment"
+    }
+    with settings(spark, **NO_BROADCAST):
+        feeds = {"linkaja_mcd": spark.createDataFrame(feed, "sequence_id string, transaction_date timestamp_ntz")}
+        transactions = spark.createDataFrame([(t, noon(6)) for t in known], schemas.TRANSACTIONS)
+        card_refs = spark.createDataFrame([(t, c, noon(6)) for t, c in refs], schemas.CARD_REFS)
+        keys = recon.keys_by_route(feeds, transactions, card_refs, PARAMS)[recon.APPROVAL]
+        got = [(r.match_key, r.feed_date) for r in keys.collect()]
+        codes = dict(map(tuple, recon.approval_codes(transactions, card_refs, PARAMS).collect()))
+    assert len(got) == len(set(got)) and set(got) == expected
+    assert codes == {
+        t: min((c for r, c in refs if r == t and c is not None), default=None)
+        for t in {t for t, _ in refs if t in known and t is not None}
+    }
+
+
 def test_a_cluster_must_name_a_checkpoint_folder():
     class Context:
         master = "spark://host"

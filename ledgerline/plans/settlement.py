@@ -1,9 +1,8 @@
 """The settlement plan: inputs to report."""
 
-import tempfile
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 
 from ledgerline.functions.columns import since
 from ledgerline.operators.amounts import day_measures
@@ -22,6 +21,7 @@ from ledgerline.operators.report import report_rows
 from ledgerline.plans.calendar import settlement_calendar
 from ledgerline.plans.params import Params
 from ledgerline.plans.rates import merchant_dimension, referral_in_scope
+from ledgerline.sources.cuts import cut
 from ledgerline.sources.inputs import Inputs
 
 
@@ -53,33 +53,6 @@ def daily(inputs: Inputs, params: Params) -> DataFrame:
     )
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The checkpoint folder: the one ``spark.checkpoint.dir`` names, else the one in use.
-
-    Only a local master, where driver and executors are one process, may do
-    without and gets a temporary folder.
-    """
-    context = spark.sparkContext
-    current = context.getCheckpointDir()
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named and named.rstrip("/") not in (current or ""):
-        context.setCheckpointDir(named)
-    elif current is None:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="checkpoint-"))
-    return context.getCheckpointDir()
-
-
-def cut(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and go on from there.
-
-    A lost executor then costs no more than the small steps after the cut.
-    """
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def lay_out(
     totals: DataFrame,
     measures: DataFrame,

@@ -15,6 +15,7 @@ from ledgerline.plans import extracts, settlement
 from ledgerline.plans.calendar import settlement_calendar
 from ledgerline.plans.rates import merchant_dimension, referral_in_scope
 from ledgerline.sources import sink
+from ledgerline.sources.cuts import cut, shared_folder
 from testbed import binding as b
 from testbed.binding import PARAMS
 
@@ -207,7 +208,7 @@ def daily_matched_unmatched(spark, sf_dir):
 
 
 def account_day_spine(spark, sf_dir):
-    totals = settlement.cut(settlement.daily(b.inputs(spark, sf_dir), PARAMS))
+    totals = cut(settlement.daily(b.inputs(spark, sf_dir), PARAMS))
     first, last = daily.spine_bounds(totals, PARAMS)
     return daily.spine_days(totals, first, last).select(
         "account_id", "balance_date", "merch_name", *_doubles("amount_base", "unmatched_amount")
@@ -296,7 +297,7 @@ def report_sink_rows(spark, sf_dir):
 def report_replace_window(spark, sf_dir):
     """Stores the report of a week earlier, replaces its window by today's, and reads the table back."""
     inputs = b.inputs(spark, sf_dir)
-    path = f"{settlement.shared_folder(spark)}/settlement_report_{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/settlement_report_{uuid.uuid4().hex}"
     for as_of in (PARAMS.as_of - timedelta(days=7), PARAMS.as_of):
         params = replace(PARAMS, as_of=as_of)
         rows = settlement.settlement_report(inputs, params)

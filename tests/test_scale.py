@@ -100,7 +100,7 @@ def test_spine_and_walk_share_one_exchange_and_one_sort(spark):
     """From daily sums, measures and ops balances to settled batches: one shuffle by account."""
 
     def stored(df):
-        return settlement.cut(df)
+        return cuts.cut(df)
 
     inputs = binding.inputs(spark, SMALL)
     totals = stored(settlement.daily(inputs, binding.PARAMS))
@@ -245,11 +245,11 @@ def test_a_cluster_must_name_a_checkpoint_folder():
         conf = {}
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        settlement.shared_folder(Session())
+        cuts.shared_folder(Session())
 
 
 def test_cut_reads_from_the_checkpoint(spark):
-    df = settlement.cut(spark.range(10))
+    df = cuts.cut(spark.range(10))
     assert df.count() == 10
     folder = spark.sparkContext.getCheckpointDir()
     assert folder and "Scan ExistingRDD" in plan(df)

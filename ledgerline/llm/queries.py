@@ -7,7 +7,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.llm import quality, toxicity
+from ledgerline.llm import pieces, quality, secrets, toxicity
 from ledgerline.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,7 +30,9 @@ def _query(operator: Callable[..., DataFrame], *tables: str) -> Query:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_sentencepiece": _query(pieces.encoded, "documents"),
     "op3_toxicity": _query(toxicity.toxicity_scores, "documents", "labels"),
+    "op5_secrets": _query(secrets.find_secrets, "documents"),
     "op8_quality": _query(quality.quality_scores, "documents", "labels"),
 }
 

@@ -7,7 +7,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.llm import pieces, quality, secrets, toxicity
+from ledgerline.llm import neardup, pieces, quality, secrets, toxicity
 from ledgerline.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +22,10 @@ def _importable(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def _near_duplicates(documents: DataFrame) -> DataFrame:
+    return neardup.near_duplicates(documents, size=3, percent=85)
+
+
 def _query(operator: Callable[..., DataFrame], *tables: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return operator(*(table(_importable(spark), sf_dir, name) for name in tables))
@@ -33,6 +37,7 @@ QUERIES: dict[str, Query] = {
     "op1_sentencepiece": _query(pieces.encoded, "documents"),
     "op3_toxicity": _query(toxicity.toxicity_scores, "documents", "labels"),
     "op5_secrets": _query(secrets.find_secrets, "documents"),
+    "op7_minhash": _query(_near_duplicates, "documents"),
     "op8_quality": _query(quality.quality_scores, "documents", "labels"),
 }
 

@@ -41,29 +41,54 @@ def row_key() -> Column:
     return F.md5(F.concat_ws("\u0000", F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), F.col("text")))
 
 
-def map_texts(df: DataFrame, per_batch: Callable[[list[str]], dict[str, list | np.ndarray | pa.Array]], schema: str) -> DataFrame:
-    """Append columns computed from ``text``, a batch of rows at a time, and drop ``text``.
+def map_texts(
+    df: DataFrame, per_batch: Callable[[list[str]], dict[str, list | np.ndarray | pa.Array]], schema: str, text: bool = False
+) -> DataFrame:
+    """Append columns computed from ``text``, a batch of rows at a time; ``text`` itself goes unless asked for.
 
-    ``per_batch`` gets the batch's texts and returns the columns that ``schema`` names.
+    ``per_batch`` gets the batch's texts and returns the columns that ``schema`` names. Under
+    the name ``None`` it may also return which rows stay.
     """
-    kept = [f for f in df.schema.fields if f.name != "text"]
+    kept = [f for f in df.schema.fields if text or f.name != "text"]
     out = df.sparkSession.createDataFrame([], schema).schema
-    names = [f.name for f in kept] + out.names
-    full = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in kept] + [f"`{f.name}` {f.dataType.simpleString()}" for f in out])
-    own = {f.name: f.type for f in to_arrow_schema(out)}
+    full = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in [*kept, *out])
+    passed, own = [f.name for f in kept], {f.name: f.type for f in to_arrow_schema(out)}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
             made = per_batch(batch.column("text").to_pylist())
-            columns = [batch.column(n) for n in names[: len(kept)]]
+            columns = [batch.column(n) for n in passed]
             columns += [made[n] if isinstance(made[n], pa.Array) else pa.array(made[n], kind) for n, kind in own.items()]
-            yield pa.RecordBatch.from_arrays(columns, names=names)
+            result = pa.RecordBatch.from_arrays(columns, names=[*passed, *own])
+            yield result.filter(pa.array(made[None], pa.bool_())) if None in made else result
 
     return df.mapInArrow(run, full)
 
 
+BITMAP_BITS = 23
+
+
+def bitmap(hashes: DataFrame, column: str) -> np.ndarray:
+    """Which values of ``column`` modulo 2**23 occur: one megabyte, however many rows there are.
+
+    It passes every row that has a partner and, the more values there are, more that
+    have none; a join then decides. Built on the executors, 64 bits a row.
+    """
+    place = F.col(column).bitwiseAND(2**BITMAP_BITS - 1)
+    bits = hashes.select(place.alias("slot")).selectExpr("shiftright(slot, 6) at", "shiftleft(1L, int(slot & 63)) bit")
+    words = bits.groupBy("at").agg(F.bit_or("bit").alias("bits")).toPandas()
+    out = np.zeros(2 ** (BITMAP_BITS - 6), np.int64)
+    out[words["at"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64)
+    return out.view(np.uint64)
+
+
+def in_bitmap(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    place = hashes & np.uint64(2**BITMAP_BITS - 1)
+    return (bits[place >> np.uint64(6)] >> (place & np.uint64(63))) & np.uint64(1) > 0
+
+
 def ascii_words(text: str) -> list[bytes]:
     """Words ``[^\\x20\\x09-\\x0D]+`` after lower-casing A-Z: exactly what bytes do."""
     return text.encode("utf-8", "replace").lower().split()

@@ -7,7 +7,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.llm import neardup, pieces, quality, secrets, toxicity
+from ledgerline.llm import contamination, neardup, ngrams, pieces, quality, secrets, toxicity
 from ledgerline.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,7 +36,9 @@ def _query(operator: Callable[..., DataFrame], *tables: str) -> Query:
 QUERIES: dict[str, Query] = {
     "op1_sentencepiece": _query(pieces.encoded, "documents"),
     "op3_toxicity": _query(toxicity.toxicity_scores, "documents", "labels"),
+    "op4_decontamination": _query(contamination.report, "documents", "benchmark"),
     "op5_secrets": _query(secrets.find_secrets, "documents"),
+    "op6_language_model": _query(ngrams.language_scores, "documents"),
     "op7_minhash": _query(_near_duplicates, "documents"),
     "op8_quality": _query(quality.quality_scores, "documents", "labels"),
 }

@@ -7,7 +7,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.llm import contamination, neardup, ngrams, pieces, quality, secrets, toxicity
+from ledgerline.llm import contamination, nearest, neardup, ngrams, pieces, quality, secrets, toxicity
 from ledgerline.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -41,6 +41,7 @@ QUERIES: dict[str, Query] = {
     "op6_language_model": _query(ngrams.language_scores, "documents"),
     "op7_minhash": _query(_near_duplicates, "documents"),
     "op8_quality": _query(quality.quality_scores, "documents", "labels"),
+    "op9_nearest": _query(nearest.every_twentieth, "embeddings"),
 }
 
 

@@ -7,7 +7,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.llm import contamination, nearest, neardup, ngrams, pieces, quality, secrets, toxicity
+from ledgerline.llm import contamination, licenses, nearest, neardup, ngrams, pieces, quality, secrets, toxicity, warc
 from ledgerline.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,6 +35,7 @@ def _query(operator: Callable[..., DataFrame], *tables: str) -> Query:
 
 QUERIES: dict[str, Query] = {
     "op1_sentencepiece": _query(pieces.encoded, "documents"),
+    "op2_warc": _query(warc.page_derivatives, "pages"),
     "op3_toxicity": _query(toxicity.toxicity_scores, "documents", "labels"),
     "op4_decontamination": _query(contamination.report, "documents", "benchmark"),
     "op5_secrets": _query(secrets.find_secrets, "documents"),
@@ -42,6 +43,7 @@ QUERIES: dict[str, Query] = {
     "op7_minhash": _query(_near_duplicates, "documents"),
     "op8_quality": _query(quality.quality_scores, "documents", "labels"),
     "op9_nearest": _query(nearest.every_twentieth, "embeddings"),
+    "op10_licenses": _query(licenses.find_licenses, "documents"),
 }
 
 

@@ -38,7 +38,16 @@ def held_out(folds: int, fold: int) -> Column:
 
 def row_key() -> Column:
     """Names a row by its content, so that re-run tasks and repeated rows give the same name."""
-    return F.md5(F.concat_ws("\u0000", F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), F.col("text")))
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    return F.md5(F.concat_ws("\u0000", F.coalesce(F.col("doc_id").cast("long").cast("string"), F.lit("-")), text))
+
+
+BROADCAST_ROWS = 1_000_000
+
+
+def broadcast_if_small(df: DataFrame) -> DataFrame:
+    """Broadcast ``df``, short rows that were already cut, if they are counted to be few; else Spark shuffles, with the same result."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
 def map_texts(

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import bitmap, hashed, in_bitmap, map_texts, mixed, row_key, texts
+from ledgerline.llm.common import bitmap, broadcast_if_small, hashed, in_bitmap, map_texts, mixed, row_key, texts
 from ledgerline.sources.cuts import cut, kept_table
 
 SEED = 5
@@ -199,7 +199,5 @@ def report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def without_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs``, all columns, that hold no benchmark item."""
-    found = cut(contaminated(docs, benchmark).select("key").distinct())
-    named = docs.withColumn("_content_key", F.md5(F.concat_ws("\u0000", F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), F.coalesce(F.col("text").cast("string"), F.lit("")))))
-    kept = named.join(found.withColumnRenamed("key", "_content_key"), "_content_key", "left_anti")
-    return kept.select(*docs.columns)
+    found = cut(contaminated(docs, benchmark).select(F.col("key").alias("_key")).distinct())
+    return docs.join(broadcast_if_small(found), row_key() == F.col("_key"), "left_anti")

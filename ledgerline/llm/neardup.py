@@ -17,10 +17,10 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import ascii_words, hashed, map_texts, mixed, texts
+from ledgerline.llm.common import ascii_words, broadcast_if_small, hashed, map_texts, mixed, texts
 from ledgerline.llm.components import components
 from ledgerline.sources.cuts import cut, kept_table
 
@@ -32,7 +32,6 @@ FACTOR, SHIFT = _DRAWN[0] * np.uint64(2) + np.uint64(1), _DRAWN[1]
 SLACK = 5.0
 BLOCK = 1_000
 WORDS_A_PASS = 200_000
-BROADCAST_ROWS = 1_000_000
 EVEN_SPREAD = np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -106,11 +105,6 @@ def signed(docs: DataFrame, size: int) -> DataFrame:
     return map_texts(texts(docs), per_batch, "n_shingles long, set_id string, bands array<bigint>, minima array<int>")
 
 
-def _limited(df: DataFrame) -> DataFrame:
-    """Broadcast ``df`` (already cut) if it was counted to be small; else Spark joins it by a shuffle, with the same result."""
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
-
-
 def _buckets(reps: DataFrame) -> DataFrame:
     """(bucket, doc_id, n members, weight of the member) of the buckets with company."""
     rows = reps.select("doc_id", F.explode("bands").alias("bucket"))
@@ -146,7 +140,7 @@ def _agreeing(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
 def _linked(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
     """Pairs that ``100 * intersection >= percent * union`` holds for, on the full sets."""
     wanted = cut(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct())
-    rows = texts(docs).join(_limited(wanted), "doc_id").dropDuplicates(["doc_id"])
+    rows = texts(docs).join(broadcast_if_small(wanted), "doc_id").dropDuplicates(["doc_id"])
 
     def sets_of(batch: list[str]) -> dict[str, list]:
         return {"shingles": [s.view(np.int64) for s in shingles(batch, size)]}
@@ -236,3 +230,22 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
         component.alias("component_id"),
         F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"),
     )
+
+
+def without_near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of ``docs``, all columns, but for near duplicates: the smallest id of each component stays, once.
+
+    Of rows that share an id the one with the smallest text stays. Rows with a null id stay as they are.
+    """
+    marked = near_duplicates(docs, size, percent).where("doc_id is not null")
+    ids = marked.groupBy("doc_id").agg(F.min("kept").alias("kept"), F.count("*").alias("n"))
+    odd = cut(ids.where("not kept or n > 1").withColumnRenamed("doc_id", "_id"))
+    by_id = F.col("doc_id").cast("long") == F.col("_id")
+    rest = docs.join(broadcast_if_small(odd.select("_id")), by_id, "left_anti")
+    repeated = odd.where("kept").select("_id")
+    if repeated.isEmpty():
+        return rest
+    again = docs.join(broadcast_if_small(repeated), by_id, "left_semi")
+    first = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.col("text").asc_nulls_last()))
+    once = again.withColumn("_place", first).where("_place = 1").select(*docs.columns)
+    return rest.unionByName(once)

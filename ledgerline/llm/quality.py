@@ -176,14 +176,6 @@ def fit(docs: DataFrame, labels: DataFrame, target: str = "quality", sample_rows
     return fit_trees(x, once["label"].to_numpy(np.float64))
 
 
-def scored(docs: DataFrame, model: Trees) -> DataFrame:
-    """``doc_id``, ``text`` and ``score`` of every row: the chance of label 1, for empty texts too."""
-    both = texts(docs).withColumn("whole", F.col("text"))
-    return map_texts(both, lambda batch: {"score": model.score(matrix_of(batch))}, "score double").withColumnRenamed(
-        "whole", "text"
-    )
-
-
 def quality_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """One row for each row of ``docs``, whole texts, nothing but the text as input.
 
@@ -195,3 +187,14 @@ def quality_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return rows.select(
         "doc_id", held_out(FOLDS, HELD_FOLD), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted")
     )
+
+
+def good_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows of ``docs``, all columns, with a score of ``THRESHOLD`` or more."""
+    model = fit(docs, labels)
+
+    def judge(batch: list[str | None]) -> dict:
+        score = model.score(matrix_of([t or "" for t in batch]))
+        return {"_score": score, None: score >= THRESHOLD}
+
+    return map_texts(docs, judge, "_score double", text=True).drop("_score")

@@ -7,6 +7,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from ledgerline.llm import contamination, licenses, nearest, neardup, ngrams, pieces, quality, secrets, toxicity, warc
 from ledgerline.llm.common import table
 
@@ -34,6 +35,7 @@ def _query(operator: Callable[..., DataFrame], *tables: str) -> Query:
 
 
 QUERIES: dict[str, Query] = {
+    "pipeline": lambda spark, sf_dir: corpus_pipeline.run(_importable(spark), sf_dir),
     "op1_sentencepiece": _query(pieces.encoded, "documents"),
     "op2_warc": _query(warc.page_derivatives, "pages"),
     "op3_toxicity": _query(toxicity.toxicity_scores, "documents", "labels"),
@@ -48,4 +50,4 @@ QUERIES: dict[str, Query] = {
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}

@@ -19,8 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import map_texts, row_key, texts
-from ledgerline.sources.cuts import kept_table
+from ledgerline.llm.common import broadcast_if_small, map_texts, row_key, texts
+from ledgerline.sources.cuts import cut, kept_table
 
 REACH = 400
 LEAST_ASSIGNED, LEAST_ACCESS, LEAST_HEX = 6, 20, 24
@@ -141,23 +141,58 @@ def linked(parts: DataFrame) -> DataFrame:
     return seen.where(F.size(F.array_intersect(needs, F.col("roles"))) == F.size(needs)).drop("roles")
 
 
+def _with_spans(docs: DataFrame) -> DataFrame:
+    """``scanned`` rows with all reported spans in ``every``."""
+    rows = kept_table(scanned(docs))
+    some = rows.where(F.size("weak") > 0).dropDuplicates(["key"])
+    parts = some.select("key", F.inline(F.concat("base", "weak")))
+    found = linked(parts).groupBy("key").agg(F.collect_list(F.struct("start", "kind", "end")).alias("more"))
+    every = F.array_sort(F.concat("base", F.coalesce(F.col("more"), F.array().cast(SPAN))))
+    return rows.join(found, "key", "left").withColumn("every", every)
+
+
 def find_secrets(docs: DataFrame) -> DataFrame:
     """One row for each row of ``docs``: counts and digest of the base kinds, and all spans.
 
     A null text is empty and has no spans; null ids and repeated rows are kept, each
     with its own text's spans. Offsets count code points, ends are exclusive.
     """
-    rows = kept_table(scanned(docs))
-    some = rows.where(F.size("weak") > 0).dropDuplicates(["key"])
-    parts = some.select("key", F.inline(F.concat("base", "weak")))
-    found = linked(parts).groupBy("key").agg(F.collect_list(F.struct("start", "kind", "end")).alias("more"))
     names = F.array(*map(F.lit, KINDS))
-    every = F.array_sort(F.concat("base", F.coalesce(F.col("more"), F.array().cast(SPAN))))
     text = F.transform(
-        every,
+        "every",
         lambda s: F.concat_ws(":", F.element_at(names, s["kind"] + 1), s["start"].cast("string"), s["end"].cast("string")),
     )
-    return rows.join(found, "key", "left").select(
+    return _with_spans(docs).select(
         "doc_id", "n_assign", "n_access", "n_hex", "base_sha256", F.array_join(text, ",").alias("spans")
     )
 
+
+MASK = "[secret]"
+
+
+def masked(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs``, all columns, with every reported span replaced by ``MASK``; overlapping ones by one.
+
+    ``n_chars``, if there, follows the text. Rows without spans stay as they are, null texts too.
+    """
+    spans = _with_spans(docs).where(F.size("every") > 0).dropDuplicates(["key"])
+    found = cut(spans.select(F.col("key").alias("_key"), F.col("every").alias("_spans")))
+    rest = docs.join(broadcast_if_small(found.select("_key")), row_key() == F.col("_key"), "left_anti")
+    hit = docs.join(broadcast_if_small(found), row_key() == F.col("_key"))
+    # Text is rebuilt from the pieces between spans; what a span shares with the one before it is skipped.
+    start = {"at": F.lit(0).cast("long"), "out": F.lit("")}
+    state = F.struct(*(v.alias(n) for n, v in start.items()))
+
+    def step(s, span):
+        kept = F.substring(F.col("text"), (s["at"] + 1).cast("int"), F.greatest(span["start"] - s["at"], F.lit(0)).cast("int"))
+        mark = F.when((span["start"] >= s["at"]) & (span["end"] > s["at"]), F.lit(MASK)).otherwise("")
+        return F.struct(F.greatest(s["at"], span["end"]).alias("at"), F.concat(s["out"], kept, mark).alias("out"))
+
+    whole = F.aggregate(
+        "_spans", state, step, lambda s: F.concat(s["out"], F.substring(F.col("text"), (s["at"] + 1).cast("int"), F.length("text")))
+    )
+    changed = hit.withColumn("text", whole)
+    if "n_chars" in docs.columns:
+        changed = changed.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return rest.unionByName(changed.select(*docs.columns))
+

@@ -117,7 +117,7 @@ def aligned(a: list[str], b: list[str]) -> list[tuple[int, int]]:
 
 
 def found_in(text: str, among: list[Template], coverage: float) -> list[tuple[str, float, int, int]]:
-    """(license, coverage, start, end) of the notices in one text; where two overlap the better covered, then longer, one."""
+    """(license, coverage, start, end) of the notices in one text; where two overlap the one with more words aligned."""
     spots = [(m.group().lower(), m.start(), m.end()) for m in WORD.finditer(text)]
     words = [w for w, _, _ in spots]
     found = []
@@ -142,7 +142,7 @@ def found_in(text: str, among: list[Template], coverage: float) -> list[tuple[st
             else:
                 hits = hits[last + 1 :]
     chosen: list[tuple[str, float, int, int]] = []
-    for share, _, a, z, name in sorted(found, key=lambda f: (-f[0], -f[1], f[2], f[4])):
+    for share, _, a, z, name in sorted(found, key=lambda f: (-f[0] * f[1], -f[0], f[2], f[4])):
         if all(z <= b or a >= e for _, _, b, e in chosen):
             chosen.append((name, share, a, z))
     return sorted(chosen, key=lambda c: (c[2], c[0]))

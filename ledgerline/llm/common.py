@@ -80,13 +80,14 @@ BITMAP_BITS = 23
 
 
 def bitmap(hashes: DataFrame, column: str) -> np.ndarray:
-    """Which values of ``column`` modulo 2**23 occur: one megabyte, however many rows there are.
+    """A Bloom filter with two places for each value of ``column``: one megabyte, however many rows there are.
 
     It passes every row that has a partner and, the more values there are, more that
     have none; a join then decides. Built on the executors, 64 bits a row.
     """
-    place = F.col(column).bitwiseAND(2**BITMAP_BITS - 1)
-    bits = hashes.select(place.alias("slot")).selectExpr("shiftright(slot, 6) at", "shiftleft(1L, int(slot & 63)) bit")
+    h, mask = F.col(column), 2**BITMAP_BITS - 1
+    both = F.array(h.bitwiseAND(mask), F.shiftrightunsigned(h, BITMAP_BITS).bitwiseAND(mask))
+    bits = hashes.select(F.explode(both).alias("slot")).selectExpr("shiftright(slot, 6) at", "shiftleft(1L, int(slot & 63)) bit")
     words = bits.groupBy("at").agg(F.bit_or("bit").alias("bits")).toPandas()
     out = np.zeros(2 ** (BITMAP_BITS - 6), np.int64)
     out[words["at"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64)
@@ -94,8 +95,10 @@ def bitmap(hashes: DataFrame, column: str) -> np.ndarray:
 
 
 def in_bitmap(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    place = hashes & np.uint64(2**BITMAP_BITS - 1)
-    return (bits[place >> np.uint64(6)] >> (place & np.uint64(63))) & np.uint64(1) > 0
+    mask, found = np.uint64(2**BITMAP_BITS - 1), True
+    for place in (hashes & mask, (hashes >> np.uint64(BITMAP_BITS)) & mask):
+        found &= (bits[place >> np.uint64(6)] >> (place & np.uint64(63))) & np.uint64(1) > 0
+    return found
 
 
 def ascii_words(text: str) -> list[bytes]:

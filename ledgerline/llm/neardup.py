@@ -137,15 +137,19 @@ def _agreeing(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
     return near.select("a", "b")
 
 
-def _linked(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """Pairs that ``100 * intersection >= percent * union`` holds for, on the full sets."""
-    wanted = cut(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct())
-    rows = texts(docs).join(broadcast_if_small(wanted), "doc_id").dropDuplicates(["doc_id"])
+def _sets(ids: DataFrame, docs: DataFrame, size: int) -> DataFrame:
+    """``doc_id, shingles`` of the documents named by ``ids``."""
+    rows = texts(docs).join(broadcast_if_small(cut(ids.distinct())), "doc_id").dropDuplicates(["doc_id"])
 
     def sets_of(batch: list[str]) -> dict[str, list]:
         return {"shingles": [s.view(np.int64) for s in shingles(batch, size)]}
 
-    sets = kept_table(map_texts(rows, sets_of, "shingles array<bigint>"))
+    return kept_table(map_texts(rows, sets_of, "shingles array<bigint>"))
+
+
+def _linked(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """Pairs that ``100 * intersection >= percent * union`` holds for, on the full sets."""
+    sets = _sets(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")), docs, size)
     side = lambda n: sets.select(F.col("doc_id").alias(n), F.col("shingles").alias(f"s{n}"))
 
     def confirmed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -158,11 +162,13 @@ def _linked(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataF
     return pairs.join(side("a"), "a").join(side("b"), "b").mapInPandas(confirmed, "a long, b long")
 
 
-def _left_apart(members: DataFrame, labels: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
-    """Pairs of a bucket in different components whose signatures agree; each pair in its first common band.
+def _left_apart(members: DataFrame, labels: DataFrame, reps: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """Links between components that the hubs missed, one for each member and other component it links with.
 
-    In every such pair one member is outside the bucket's largest component. Those
-    members, in blocks, meet all members, in blocks; a task holds two blocks.
+    Of two members of a bucket in different components one at least is outside the bucket's
+    largest component. Those members, in blocks, meet all members, in blocks; a task
+    holds two blocks. Signatures rule pairs out, full sets confirm the others, a pair
+    in its first common band only.
     """
     rows = members.where("n > 2").join(labels, "doc_id", "left")
     rows = rows.select("bucket", "doc_id", "n", F.coalesce("component_id", "doc_id").alias("component_id"))
@@ -170,27 +176,37 @@ def _left_apart(members: DataFrame, labels: DataFrame, reps: DataFrame, percent:
     main = sizes.groupBy("bucket").agg(
         F.min(F.struct((-F.col("k")).alias("k"), "component_id")).alias("main"), F.count("*").alias("parts")
     )
-    open_ = rows.join(main.where("parts > 1").select("bucket", F.col("main.component_id").alias("main")), "bucket")
-    full = cut(open_.join(reps.select("doc_id", "bands", "minima"), "doc_id"))
+    open_ = cut(rows.join(main.where("parts > 1").select("bucket", F.col("main.component_id").alias("main")), "bucket"))
+    known = reps.select("doc_id", "bands", "minima").join(_sets(open_.select("doc_id"), docs, size), "doc_id")
+    full = kept_table(open_.join(known, "doc_id"))
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
     own = F.pmod(F.xxhash64("doc_id"), blocks).cast("int")
     every = F.explode(F.sequence(F.lit(0), blocks - 1))
-    columns = ["bucket", "doc_id", "component_id", "bands", "minima"]
+    columns = ["bucket", "doc_id", "component_id", "bands", "minima", "shingles"]
     outside = full.where("component_id != main").select(*columns, own.alias("i"), every.alias("j"))
     all_ = full.select(*columns, own.alias("j"), every.alias("i"))
     cells = ["bucket", "i", "j"]
     least = least_agreement(percent) * MINIMA
 
     def compare(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        if left.empty or right.empty:
-            return pd.DataFrame({"a": [], "b": []}, dtype=np.int64)
-        m, bands = np.stack(right.minima.tolist()), np.stack(right.bands.tolist())
-        ids, parts, found = right.doc_id.to_numpy(), right.component_id.to_numpy(), []
-        for row in left.itertuples():
-            near = (parts != row.component_id) & ((m == row.minima).sum(1) >= least)
-            first = (bands == row.bands).argmax(1)
-            near &= bands[np.arange(len(ids)), first] == row.bucket
-            found += [(min(row.doc_id, x), max(row.doc_id, x)) for x in ids[near]]
+        found: list[tuple[int, int]] = []
+        if len(left) and len(right):
+            minima, bands = np.stack(right.minima.tolist()), np.stack(right.bands.tolist())
+            ids, parts = right.doc_id.to_numpy(), right.component_id.to_numpy()
+            sets, lengths = right.shingles.tolist(), right.shingles.map(len).to_numpy()
+            for row in left.itertuples():
+                near = (parts != row.component_id) & ((minima == row.minima).sum(1) >= least)
+                first = (bands == row.bands).argmax(1)
+                near = np.flatnonzero(near & (bands[np.arange(len(ids)), first] == row.bucket))
+                if not len(near):
+                    continue
+                flat = np.concatenate([sets[k] for k in near])
+                at = np.minimum(np.searchsorted(row.shingles, flat), len(row.shingles) - 1)
+                ends = np.cumsum(lengths[near])
+                common = np.add.reduceat((row.shingles[at] == flat).astype(np.int64), ends - lengths[near])
+                near = near[100 * common >= percent * (lengths[near] + len(row.shingles) - common)]
+                _, once = np.unique(parts[near], return_index=True)
+                found += [(min(row.doc_id, x), max(row.doc_id, x)) for x in ids[near[once]]]
         return pd.DataFrame(found, columns=["a", "b"], dtype=np.int64)
 
     both = outside.groupBy(*cells).cogroup(all_.groupBy(*cells))
@@ -214,10 +230,9 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     pairs = cut(_agreeing(_with_hubs(members), reps, percent))
     links = cut(_linked(pairs, docs, size, percent))
     labels = cut(components(links))
-    more = cut(_left_apart(members, labels, reps, percent).join(pairs, ["a", "b"], "left_anti"))
+    more = cut(_left_apart(members, labels, reps, docs, size, percent))
     if not more.isEmpty():
-        links = links.unionAll(_linked(more, docs, size, percent))
-        labels = cut(components(links))
+        labels = cut(components(links.unionAll(more)))
     of_class = classes.join(labels, classes["rep"] == labels["doc_id"], "left").select(
         "set_id", F.coalesce("component_id", "rep").alias("component_id")
     )

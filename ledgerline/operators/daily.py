@@ -75,9 +75,12 @@ def date_bounds(daily: DataFrame) -> tuple[date, date] | None:
 
 
 def spine_bounds(daily: DataFrame, params: Params) -> tuple[date, date]:
-    """First active day, and the end of the tail after the last one."""
+    """First active day, and the end of the tail after the last one, or after ``as_of`` if that is earlier.
+
+    A row dated far in the future so adds no days.
+    """
     first, last = date_bounds(daily) or (params.as_of, params.as_of)
-    return first, last + timedelta(days=params.spine_tail_days)
+    return min(first, params.as_of), min(last, params.as_of) + timedelta(days=params.spine_tail_days)
 
 
 def account_spine(daily: DataFrame, first: date, last: date) -> DataFrame:
@@ -92,13 +95,19 @@ def lay_on_spine(spine: DataFrame, *sources: DataFrame) -> DataFrame:
     The result of left joins on (account_id, balance_date) with sources that are
     unique on it. Stacking the rows and regrouping them needs one shuffle, by
     account, for all sources, and the windows per account that follow need none.
-    An account has no more rows here than days times sources.
+    An account has no more rows here than days times sources. A second row of a source fails the run.
     """
     key = ["account_id", "balance_date"]
     rows = spine.withColumn("_on_spine", F.lit(True))
     for source in sources:
         rows = rows.unionByName(source, allowMissingColumns=True)
-    only = [F.max(c).alias(c) for c in rows.columns if c not in key]
+    twice = F.concat(F.lit("two rows of one source: "), F.concat_ws(" ", *key))
+
+    def the_only(c: str) -> Column:
+        one = F.when(F.count(c) > 1, F.raise_error(twice).cast(rows.schema[c].dataType)).otherwise(F.max(c))
+        return one.alias(c)
+
+    only = [the_only(c) for c in rows.columns if c not in key]
     laid = rows.repartition("account_id").groupBy(*key).agg(*only)
     return laid.where("_on_spine").drop("_on_spine")
 

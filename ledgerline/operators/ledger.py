@@ -34,14 +34,10 @@ def with_merchants(rows: DataFrame, merchants: DataFrame) -> DataFrame:
 
 
 def prune_accounts(rows: DataFrame, merchants: DataFrame, params: Params) -> DataFrame:
-    """Drop rows of out-of-scope accounts early, when that needs no shuffle.
+    """Drop rows of out-of-scope accounts early; Catalyst plans the join by its own size estimates.
 
-    The in-scope account ids are counted first and broadcast only up to
-    ``params.account_broadcast_rows``. Above that the rows pass through
-    unchanged: the join that attaches the rate after aggregation drops them.
+    Joined on the held form of the account, so that a hot account can be split where rows are shuffled.
     """
-    scope = merchants.where(in_scope(params) & referral_in_scope(params)).select("account_id")
-    limit = params.account_broadcast_rows
-    if limit <= 0 or scope.count() > limit:
-        return rows
-    return rows.join(F.broadcast(scope), "account_id", "left_semi")
+    key = held_key(F.col("account_id").cast("string"))
+    scope = merchants.where(in_scope(params) & referral_in_scope(params)).select(key.alias("_key"))
+    return rows.withColumn("_key", key).join(scope, "_key", "left_semi").drop("_key")

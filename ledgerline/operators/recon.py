@@ -13,6 +13,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerline.functions.columns import (
     held_key,
@@ -28,6 +29,7 @@ ISSUER_REF = "issuer_ref"
 APPROVAL = "approval"
 EXTREF = "extref"
 
+
 def _text(c: Column) -> Column:
     return c.cast("string")
 
@@ -48,6 +50,11 @@ class Feed:
     match: Callable[[Column], Column] = _text
     reported: Callable[[Column], Column] | None = None
 
+    @property
+    def schema(self) -> T.StructType:
+        """The two columns that a feed is read for, under its own names."""
+        return T.StructType([T.StructField(self.key, T.StringType()), T.StructField(self.timestamp, T.TimestampNTZType())])
+
     def keys(self, df: DataFrame, params: Params) -> DataFrame:
         raw = F.col(self.key)
         recent = df.where(since(self.timestamp, params.days_back(params.ledger_days)))
@@ -182,36 +189,59 @@ def look_up(rows: DataFrame, keys: DataFrame, key: Column, value: Column, name:
 
 
 def flag_matches(rows: DataFrame, keys: Mapping[str, DataFrame]) -> DataFrame:
-    """Add ``is_matched``: some feed holds the row's reference on the same calendar date."""
-    out, flags = rows, []
-    for route, route_rows in keys.items():
-        flag = f"_by_{route}"
-        out = look_up(out, distinct_keys(route_rows), ledger_side(route), F.lit(True), flag)
-        flags.append(flag)
-    return out.withColumn("is_matched", F.coalesce(*flags, F.lit(False))).drop(*flags)
+    """Add ``is_matched``: some feed holds the row's reference on the same calendar date.
+
+    One join for all routes: every reference that a row has is looked up among the
+    united keys. A row comes out once for each reference that matched, or once
+    unmatched beside them if its first did not, so :func:`deduplicate_transactions`, which
+    prefers a matched row, must follow.
+    """
+    held = [
+        route_rows.select(held_key(F.concat(F.lit(f"{route}:"), "match_key")).alias("_key"), F.col("feed_date").alias("trx_date"))
+        for route, route_rows in keys.items()
+    ]
+    found = reduce(DataFrame.unionByName, held).distinct().withColumn("_found", F.lit(True))
+    # A null reference makes a null key; a row without any keeps one of those.
+    sought = F.array_compact(
+        F.array(*[held_key(F.concat(F.lit(f"{route}:"), _text(ledger_side(route)))) for route in keys])
+    )
+    spread = F.concat(F.lit("n"), F.hex(F.xxhash64("account_id", "txn_date", "credit_trans_trx_id")))
+    forms = F.posexplode(F.when(F.size(sought) > 0, sought).otherwise(F.array(spread)))
+    return (
+        rows.select("*", forms.alias("_place", "_key"))
+        .join(found, ["_key", "trx_date"], "left")
+        .withColumn("is_matched", F.coalesce("_found", F.lit(False)))
+        .where("is_matched or _place = 0")
+        .drop("_key", "_place", "_found")
+    )
 
 
-def with_match_key(rows: DataFrame, keys: Mapping[str, DataFrame], codes: DataFrame) -> DataFrame:
+def with_match_key(
+    rows: DataFrame, keys: Mapping[str, DataFrame], codes: DataFrame | None = None
+) -> DataFrame:
     """Add ``key_join_issuer``, the key of the first feed that matches, and ``mcd_approval_code``.
 
     One row per ledger row. Of several approval codes the one the feed holds is
-    shown, else the smallest, as ``codes`` has it per transaction.
+    shown, else the smallest, as ``codes`` has it per transaction; without ``codes``
+    only the one the feed holds, which spares the ledger a join.
     """
     out, hits = rows, []
     for route, route_rows in keys.items():
         hit = f"_hit_{route}"
         out = look_up(out, best_keys(route_rows), ledger_side(route), F.col("hit"), hit)
         hits.append(hit)
-    held = codes.select(
-        held_key(F.col("trx_id")).alias("_key"), F.col("approval_code").alias("_code")
-    )
-    trx = sought_key(ledger_side(APPROVAL), "account_id", "txn_date", "txn_extref")
-    by_feed = [F.col(f"_hit_{APPROVAL}.reported_key")] if APPROVAL in keys else []
+    shown = [F.col(f"_hit_{APPROVAL}.reported_key")] if APPROVAL in keys else []
+    if codes is not None:
+        held = codes.select(
+            held_key(F.col("trx_id")).alias("_key"), F.col("approval_code").alias("_code")
+        )
+        trx = sought_key(ledger_side(APPROVAL), "account_id", "txn_date", "txn_extref")
+        out = out.withColumn("_key", trx).join(held, "_key", "left")
+        shown.append(F.col("_code"))
+    first = F.least(*hits) if len(hits) > 1 else F.col(hits[0])
     return (
-        out.withColumn("_key", trx)
-        .join(held, "_key", "left")
-        .withColumn("mcd_approval_code", F.coalesce(*by_feed, "_code"))
-        .withColumn("key_join_issuer", F.least(*hits)["reported_key"])
+        out.withColumn("mcd_approval_code", F.coalesce(*shown, F.lit(None).cast("string")))
+        .withColumn("key_join_issuer", first["reported_key"])
         .drop("_key", "_code", *hits)
     )
 

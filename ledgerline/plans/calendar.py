@@ -7,10 +7,11 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerline.plans import fixed_values as house
+from ledgerline.plans.params import Params
 from ledgerline.sources.literal import literal_table
 from ledgerline.sources.schemas import HOLIDAYS
 
-# How far back the previous working day may lie.
+# How far back the previous working day is sought; a longer closed run fails.
 LOOK_BACK_DAYS = 31
 
 
@@ -26,6 +27,16 @@ def holiday_table(
     return fixed.unionByName(public_holidays.select(F.to_date("holiday_date").alias("holiday_date")))
 
 
+def check_span(public_holidays: DataFrame, params: Params) -> None:
+    """Fail unless the table has a holiday in the first and the last year that the run's calendar touches."""
+    years = {
+        day.year for day in (params.first_day("ledger"), params.as_of + timedelta(days=params.spine_tail_days))
+    }
+    held = {r.y for r in public_holidays.select(F.year("holiday_date").alias("y")).distinct().collect()}
+    if not years <= held:
+        raise ValueError(f"public_holidays has no day in {sorted(years - held)}")
+
+
 def settlement_calendar(holidays: DataFrame, first: date, last: date) -> DataFrame:
     """One row per day ``first``..``last``; ``last_working_day`` is strictly before ``day``.
 
@@ -44,6 +55,7 @@ def settlement_calendar(holidays: DataFrame, first: date, last: date) -> DataFra
         .distinct()
         .withColumn("_holiday", F.lit(True))
     )
+    closed_for = F.concat(F.lit(f"no settlement day in {LOOK_BACK_DAYS} days before "), F.col("day").cast("string"))
     by_day = Window.orderBy("day")
     opens = F.col("is_settlement_day")
     before = by_day.rowsBetween(Window.unboundedPreceding, -1)
@@ -53,4 +65,5 @@ def settlement_calendar(holidays: DataFrame, first: date, last: date) -> DataFra
         .withColumn("next_is_settlement_day", F.lead("is_settlement_day").over(by_day))
         .withColumn("last_working_day", F.last(F.when(opens, F.col("day")), True).over(before))
         .where(F.col("day").between(first, last))
+        .withColumn("last_working_day", F.coalesce("last_working_day", F.raise_error(closed_for).cast("date")))
     )

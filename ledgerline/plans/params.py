@@ -11,6 +11,9 @@ from ledgerline.plans import fixed_values as house
 class Params:
     as_of: date
 
+    # The zone whose calendar days the business counts; timestamps without a zone are taken as local.
+    zone: str = "UTC"
+
     # Trailing windows in days; the first day is included and there is no upper bound.
     ledger_days: int = 16
     weekday_opening_days: int = 30
@@ -36,9 +39,6 @@ class Params:
     excluded_referrals: tuple = house.EXCLUDED_REFERRALS
     voucher_issuers: tuple = house.VOUCHER_ISSUERS
 
-    # The account list is broadcast only when counted to be at most this long (8-byte keys).
-    account_broadcast_rows: int = 2_000_000
-
     def days_back(self, days: int) -> date:
         return self.as_of - timedelta(days=days)
 

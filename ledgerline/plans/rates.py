@@ -20,16 +20,17 @@ def rate_card(
 ) -> DataFrame:
     rules = [("account", str(k), v) for k, v in accounts.items()]
     rules += [("referral", k, v) for k, v in referrals.items()]
-    return literal_table(spark, RATES, rules)
+    return literal_table(spark, RATES, [(place, *rule) for place, rule in enumerate(rules)])
 
 
 def with_rates(merchants: DataFrame, rates: DataFrame, params: Params) -> DataFrame:
-    """Add ``mdr_rate``: the account's rule, else its referral's, else the default."""
-    by_account = rates.where("kind = 'account'").select(
-        F.col("key").cast("bigint").alias("account_id"), F.col("rate").alias("_account_rate")
+    """Add ``mdr_rate``: the account's first rule, else its referral's first, else the default."""
+    first = rates.groupBy("kind", "key").agg(F.min(F.struct("place", "rate")).alias("rule"))
+    by_account = first.where("kind = 'account'").select(
+        F.col("key").cast("bigint").alias("account_id"), F.col("rule.rate").alias("_account_rate")
     )
-    by_referral = rates.where("kind = 'referral'").select(
-        F.col("key").alias("referral_code_acquisition"), F.col("rate").alias("_referral_rate")
+    by_referral = first.where("kind = 'referral'").select(
+        F.col("key").alias("referral_code_acquisition"), F.col("rule.rate").alias("_referral_rate")
     )
     rate = F.coalesce("_account_rate", "_referral_rate", F.lit(params.default_rate).cast(RATE))
     return (

@@ -28,7 +28,7 @@ LEDGER = _schema(
     issuer=TEXT,
     txn_type=TEXT,
     amt=AMOUNT,
-    credit_trans_trx_id=LONG,
+    credit_trans_trx_id=TEXT,
     issuer_txn_ref=TEXT,
     txn_extref=TEXT,
     txn_ref=TEXT,
@@ -48,7 +48,23 @@ BANK_ACCOUNTS = _schema(
 )
 OPS_BALANCES = _schema(account_id=LONG, balance=MONEY, created_date=TIME, processed_dttm=TIME)
 HOLIDAYS = _schema(holiday_date=DATE)
-RATES = _schema(kind=TEXT, key=TEXT, rate=RATE)
+#: ``place`` orders the rules; the first of those with one kind and key holds.
+RATES = _schema(place=LONG, kind=TEXT, key=TEXT, rate=RATE)
+
+# The columns that the report reads of the six extracts.
+BASE_EXTRACT = _schema(
+    account_id=LONG,
+    credit_trans_trx_id=TEXT,
+    merch_name=TEXT,
+    txn_date=TIME,
+    referral_code_acquisition=TEXT,
+    key_join_issuer=TEXT,
+    amount_base=AMOUNT,
+    mdr_rate=RATE,
+)
+VOUCHER_EXTRACT = _schema(account_id=LONG, txn_date=TIME, amount_base=AMOUNT)
+OPENING_EXTRACT = _schema(account_id=LONG, trx_date=TIME, amount=MONEY)
+FIRST_EXTRACT = _schema(account_id=LONG, txn_date=TIME, amount=MONEY)
 
 REPORT = _schema(
     balance_date=DATE,
@@ -83,21 +99,42 @@ STORED_REPORT = T.StructType(
 )
 
 
-def _conformed(c: Column, source: T.DataType, target: T.DataType) -> Column:
+#: What a float may differ from its decimal form before digits count as lost.
+FLOAT_NOISE = "0.0000001"
+
+
+def _whole(c: Column, source: T.DataType, target: T.DecimalType) -> Column:
+    """As a decimal of the target's scale. Digits beyond it are an error, not rounded away in silence."""
+    wide = c.try_cast(T.DecimalType(38, 14))
+    near = wide.cast(T.DecimalType(38, target.scale))
+    noise = FLOAT_NOISE if isinstance(source, (T.DoubleType, T.FloatType)) else "0"
+    lost = F.abs(wide - near) > F.lit(noise).cast(T.DecimalType(38, 14))
+    message = F.concat(F.lit(f"more than {target.scale} decimals: "), c.cast("string"))
+    return F.when(lost, F.raise_error(message).cast(target)).otherwise(near.cast(target))
+
+
+def _conformed(c: Column, source: T.DataType, target: T.DataType, zone: str = "UTC") -> Column:
     """Cast to the declared type. Text or floats that hold no such value become null;
-    a number too large for the type is an error, not a null."""
+    a number that is too large or too fine for the type is an error, not a null.
+    A timestamp with a zone becomes the local time of ``zone``, whatever the session's zone is."""
     if source == target:
         return c
+    if isinstance(source, T.TimestampType) and isinstance(target, (T.TimestampNTZType, T.DateType)):
+        return F.convert_timezone(F.current_timezone(), F.lit(zone), c.cast("timestamp_ntz")).cast(target)
+    if isinstance(target, T.DecimalType) and isinstance(source, T.DecimalType) and source.scale > target.scale:
+        return _whole(c, source, target)
     if isinstance(source, (T.StringType, T.DoubleType, T.FloatType)):
         if isinstance(target, T.DecimalType):
-            return c.try_cast(T.DecimalType(38, target.scale)).cast(target)
+            return _whole(c, source, target)
         if isinstance(target, T.LongType):
             return c.try_cast(T.DecimalType(38, 4)).cast(target)
         return c.try_cast(target)
     return c.cast(target)
 
 
-def conform(df: DataFrame, schema: T.StructType, rename: Mapping[str, str] | None = None) -> DataFrame:
+def conform(
+    df: DataFrame, schema: T.StructType, rename: Mapping[str, str] | None = None, zone: str = "UTC"
+) -> DataFrame:
     """Select the declared columns, whatever their case, with the declared types.
 
     ``rename`` maps a declared name to the name the table uses. A declared
@@ -110,7 +147,7 @@ def conform(df: DataFrame, schema: T.StructType, rename: Mapping[str, str] | Non
         raise ValueError(f"missing input columns: {missing}")
     return df.select(
         *[
-            _conformed(F.col(names[f.name]), source_types[names[f.name].lower()], f.dataType).alias(f.name)
+            _conformed(F.col(names[f.name]), source_types[names[f.name].lower()], f.dataType, zone).alias(f.name)
             for f in schema
         ]
     )

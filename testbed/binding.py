@@ -17,21 +17,20 @@ from pyspark.sql import functions as F
 from ledgerline.functions.columns import MONEY
 from ledgerline.operators.ledger import signed_ledger
 from ledgerline.operators.recon import FEEDS
-from ledgerline.plans.calendar import holiday_table
 from ledgerline.plans.params import Params
 from ledgerline.plans.rates import in_scope, rate_card
 from ledgerline.sources import schemas
-from ledgerline.sources.inputs import Inputs
+from ledgerline.sources.inputs import Inputs, conform_inputs
+from ledgerline.sources.literal import literal_table
 
 AS_OF = date(2024, 1, 30)
-HOLIDAYS = (date(2024, 1, 1), date(2024, 1, 18))
-HALF_HOUR = timedelta(minutes=30)
+HOLIDAYS = (date(2023, 12, 25), date(2024, 1, 1), date(2024, 1, 18))
 
 PARAMS = Params(
     as_of=AS_OF,
-    first_trx_until=HALF_HOUR,
-    weekday_opening_until=HALF_HOUR,
-    holiday_carry_until=HALF_HOUR,
+    first_trx_until=timedelta(minutes=30),
+    weekday_opening_until=timedelta(minutes=20),
+    holiday_carry_until=timedelta(minutes=45),
     excluded_vendor=7,
     excluded_accounts=(3, 5),
     excluded_referrals=("FURNITURE",),
@@ -78,7 +77,8 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").withColumn("k", k)
 
 
-def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+def ledger_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ledger as it arrives: amounts as text, names in capitals, 'error' rows twice, ids of terminal 42 missing."""
     names = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("user_id"), "c_name")
     rows = (
         events(spark, sf_dir)
@@ -91,15 +91,19 @@ def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
             "event_type as issuer",
             """case when k < 6 then 'Emoney Reversal' when k < 10 then 'Other'
                     else 'Customer Purchase' end as txn_type""",
-            "cast(cast(value as decimal(18,2)) * 1000 as decimal(18,2)) as amt",
-            "event_id as credit_trans_trx_id",
+            "cast(cast(cast(value as decimal(18,2)) * 1000 as decimal(18,2)) as string) as AMT",
+            f"if(k <> 42, {TEXT_ID}, null) as CREDIT_TRANS_TRX_ID",
             f"{ISSUER_REF} as issuer_txn_ref",
             f"{EXTREF} as txn_extref",
             f"{TEXT_ID} as txn_ref",
             "cast(k as string) as terminal_id",
         )
     )
-    return schemas.conform(rows, schemas.LEDGER)
+    return rows.unionByName(rows.where("issuer = 'error'"))
+
+
+def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return schemas.conform(ledger_source(spark, sf_dir), schemas.LEDGER)
 
 
 def merchants(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -129,7 +133,11 @@ def card_refs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return schemas.conform(rows, schemas.CARD_REFS)
 
 
-def feeds(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+#: A feed that calls its key by another name, and sends its times as text, some of them unreadable.
+RENAMED = {"bni": {"reff_id": "reff_no"}}
+
+
+def feed_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     source = table(spark, sf_dir, "events")
     out = {}
     for spec in FEEDS:
@@ -137,11 +145,18 @@ def feeds(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         kind = F.col("event_type") == event_type
         band = (F.col("value") >= low) & (F.col("value") < high)
         out[spec.name] = source.where(kind & band).selectExpr(
-            f"{key} as {spec.key}", f"ts + interval 5 hours as {spec.timestamp}"
+            f"{key} as {RENAMED.get(spec.name, {}).get(spec.key, spec.key)}", f"ts + interval 5 hours as {spec.timestamp}"
         )
+    name = next(spec.timestamp for spec in FEEDS if spec.name == "bni")
+    late = out["bni"].withColumn(name, F.col(name).cast("string"))
+    out["bni"] = late.unionByName(late.withColumn(name, F.lit("not a time")))
     return out
 
 
+def feeds(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    return dict(inputs(spark, sf_dir).feeds)
+
+
 def bank_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """No bank for customers with a negative balance, two for those of nations 0 to 5."""
     nation = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
@@ -190,23 +205,25 @@ def ops_balances(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def inputs(spark: SparkSession, sf_dir: str) -> Inputs:
-    return Inputs(
-        ledger=ledger(spark, sf_dir),
-        merchants=merchants(spark, sf_dir),
-        transactions=transactions(spark, sf_dir),
-        card_refs=card_refs(spark, sf_dir),
-        feeds=feeds(spark, sf_dir),
-        bank_accounts=bank_accounts(spark, sf_dir),
-        ops_balances=ops_balances(spark, sf_dir),
-        holidays=holiday_table(spark, extra=HOLIDAYS),
-        rates=rate_card(spark, ACCOUNT_RATES, REFERRAL_RATES),
-    )
-
-
-def duplicated_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The ledger with every 'error' row twice and transaction ids missing for terminal 42."""
-    rows = ledger(spark, sf_dir)
-    doubled = rows.unionByName(rows.where("issuer = 'error'"))
-    return doubled.withColumn(
-        "credit_trans_trx_id", F.expr("case when terminal_id <> '42' then credit_trans_trx_id end")
-    )
+    tables = {
+        "ledger": ledger_source(spark, sf_dir),
+        "merchants": merchants(spark, sf_dir),
+        "transactions": transactions(spark, sf_dir),
+        "card_refs": card_refs(spark, sf_dir),
+        "bank_accounts": bank_accounts(spark, sf_dir),
+        "ops_balances": ops_balances(spark, sf_dir),
+        "public_holidays": public_holidays(spark),
+        "rates": repeated_rules(spark),
+    }
+    return conform_inputs(spark, tables, feed_sources(spark, sf_dir), PARAMS, RENAMED)
+
+
+def public_holidays(spark: SparkSession) -> DataFrame:
+    return literal_table(spark, schemas.HOLIDAYS, [(d,) for d in HOLIDAYS])
+
+
+def repeated_rules(spark: SparkSession) -> DataFrame:
+    """The rate card, and after it a second rule for every key, which must change nothing."""
+    rules = rate_card(spark, ACCOUNT_RATES, REFERRAL_RATES)
+    again = rules.withColumns({"place": F.col("place") + 100, "rate": F.lit("0.05").cast(schemas.RATE)})
+    return rules.unionByName(again)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ledgerline.functions.columns import or_zero
 from ledgerline.operators import amounts, batches, daily, ledger, pick, recon, report
 from ledgerline.plans import extracts, settlement
-from ledgerline.plans.calendar import settlement_calendar
+from ledgerline.plans.calendar import holiday_table, settlement_calendar
 from ledgerline.plans.rates import merchant_dimension, referral_in_scope
 from ledgerline.sources import sink
 from ledgerline.sources.cuts import cut, shared_folder
@@ -31,7 +31,7 @@ def _signed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _scope(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return merchant_dimension(b.merchants(spark, sf_dir), b.rate_card(spark, b.ACCOUNT_RATES, b.REFERRAL_RATES), PARAMS)
+    return merchant_dimension(b.merchants(spark, sf_dir), b.repeated_rules(spark), PARAMS)
 
 
 def _micros_of_day() -> Column:
@@ -72,7 +72,7 @@ def referral_filter_null_safe(spark, sf_dir):
 
 def dedup_transactions(spark, sf_dir):
     inputs = b.inputs(spark, sf_dir)
-    rows = ledger.signed_ledger(b.duplicated_ledger(spark, sf_dir), PARAMS)
+    rows = ledger.signed_ledger(inputs.ledger, PARAMS)
     rows = rows.join(_scope(spark, sf_dir).select("account_id"), "account_id", "left_semi")
     flagged = recon.flag_matches(rows, settlement.match_keys(inputs, PARAMS))
     return pick.deduplicate_transactions(flagged).select(
@@ -80,6 +80,19 @@ def dedup_transactions(spark, sf_dir):
     )
 
 
+def dedup_text_ids(spark, sf_dir):
+    """Ids that are no plain numbers, or differ in leading zeros only, are different transactions."""
+    number = F.col("txn_ref").cast("bigint")
+    group = F.floor(number / 6).cast("string")
+    by_kind = F.when(number % 3 == 0, F.concat(F.lit("TX-"), group)).when(number % 3 == 1, F.lpad(group, 9, "0")).otherwise(group)
+    rows = _signed(spark, sf_dir).withColumn(
+        "credit_trans_trx_id", F.when(F.col("credit_trans_trx_id").isNotNull(), by_kind)
+    )
+    return pick.deduplicate_transactions(rows.withColumn("is_matched", F.lit(False))).select(
+        "account_id", "credit_trans_trx_id", "trx_date", *_doubles("amount_base")
+    )
+
+
 def feed_keys(spark, sf_dir):
     feeds = b.feeds(spark, sf_dir)
     routes = [
@@ -195,9 +208,10 @@ def holiday_carry(spark, sf_dir):
 
 
 def calendar_last_working_day(spark, sf_dir):
-    """The calendar over the days the events span."""
+    """The calendar over the days the events span, up to the end of the run's calendar."""
     first, last = b.table(spark, sf_dir, "events").agg(F.to_date(F.min("ts")), F.to_date(F.max("ts"))).first()
-    return settlement_calendar(b.holiday_table(spark, extra=b.HOLIDAYS), first, last)
+    last = min(last, PARAMS.as_of + timedelta(days=PARAMS.spine_tail_days))
+    return settlement_calendar(holiday_table(spark, b.public_holidays(spark)), first, last)
 
 
 def daily_matched_unmatched(spark, sf_dir):
@@ -279,11 +293,12 @@ def settlement_report(spark, sf_dir):
 
 def report_from_extracts(spark, sf_dir):
     inputs = b.inputs(spark, sf_dir)
-    return extracts.report_from_extracts(extracts.extracts(inputs, PARAMS), inputs.holidays, PARAMS)
+    given = extracts.extracts(inputs, PARAMS, all_codes=False)
+    return extracts.report_from_extracts(given, inputs.holidays, PARAMS)
 
 
 def extract_row_counts(spark, sf_dir):
-    return extracts.extract_counts(extracts.extracts(b.inputs(spark, sf_dir), PARAMS))
+    return extracts.extract_counts(b.inputs(spark, sf_dir), PARAMS)
 
 
 def status_summary(spark, sf_dir):
@@ -308,7 +323,7 @@ def report_replace_window(spark, sf_dir):
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
-        ledger_window, signed_amount_daily, merchant_rates, referral_filter_null_safe, dedup_transactions,
+        ledger_window, signed_amount_daily, merchant_rates, referral_filter_null_safe, dedup_transactions, dedup_text_ids,
         feed_keys, card_approval_keys, recon_issuer_ref_match, recon_extref_match, recon_approval_match, recon_key_first_match, base_projection, match_split,
         voucher_rows, voucher_next_day, first_transaction_of_day, midnight_weekday_amount, day_measures, holiday_carry,
         calendar_last_working_day, daily_matched_unmatched, account_day_spine, rate_fill, ops_balance_first,

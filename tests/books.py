@@ -49,7 +49,7 @@ class Books:
         trx_id = self._next if trx == "next" else trx
         self._next += 1
         self.ledger.append(
-            (account, "m", name, at, issuer, kind, _money(amt), trx_id, None, ref, None, None)
+            (account, "m", name, at, issuer, kind, _money(amt), trx_id if trx_id is None else str(trx_id), None, ref, None, None)
         )
         if matched:
             self.feed.append((ref, at))

@@ -12,6 +12,7 @@ from ledgerline.operators.batches import close_batches
 from ledgerline.operators.ledger import ledger_since, prune_accounts, signed_ledger
 from ledgerline.plans import fixed_values as house
 from ledgerline.plans.calendar import holiday_table, settlement_calendar
+from ledgerline.plans import settlement
 from ledgerline.plans.params import Params
 from ledgerline.plans.rates import (
     in_scope,
@@ -22,6 +23,7 @@ from ledgerline.plans.rates import (
     with_rates,
 )
 from ledgerline.sources import schemas
+from ledgerline.sources.inputs import DECLARED, conform_inputs
 from tests.books import PARAMS, Books, day, noon
 
 
@@ -114,6 +116,59 @@ def test_conform_renames_and_insists_on_every_column(spark):
         schemas.conform(df, schemas.TRANSACTIONS)
 
 
+def test_digits_that_do_not_fit_fail_the_run(spark):
+    for kind, value in (("string", "0.00725"), ("decimal(9,6)", Decimal("0.00725")), ("double", 0.00725)):
+        df = spark.createDataFrame([(0, "account", "1", value)], f"place bigint, kind string, key string, rate {kind}")
+        with pytest.raises(Exception, match="more than 4 decimals"):
+            schemas.conform(df, schemas.RATES).collect()
+    fine = spark.createDataFrame([(0, "account", "1", 0.1 + 0.2)], "place bigint, kind string, key string, rate double")
+    assert values(schemas.conform(fine, schemas.RATES), "rate") == [(Decimal("0.3000"),)]
+
+
+def test_zoned_timestamps_become_local_times_of_the_business(spark):
+    df = spark.sql("select '1' as trx_id, timestamp_ltz '2026-01-05 20:00:00 UTC' as trx_date")
+    assert values(schemas.conform(df, schemas.TRANSACTIONS, zone="Asia/Jakarta"), "trx_date") == [(datetime(2026, 1, 6, 3),)]
+
+
+def test_text_ids_stay_apart(spark):
+    books = Books()
+    for trx in ("TX-1", "TX-2", "007", "7"):
+        books.row(6, 100, trx=trx)
+    totals = settlement.daily(books.inputs(spark), PARAMS)
+    assert values(totals.where("account_id = 100"), "amount_base") == [(Decimal(400),)]
+
+
+def test_holidays_must_be_given_and_reach_the_run(spark):
+    inputs = Books().inputs(spark)
+    tables = {n: getattr(inputs, n) for n in DECLARED}
+    feeds = {f.name: spark.createDataFrame([], f"{f.key} string, {f.timestamp} timestamp_ntz") for f in recon.FEEDS}
+    with pytest.raises(ValueError, match="public_holidays"):
+        conform_inputs(spark, tables, feeds, PARAMS)
+    tables["public_holidays"] = spark.createDataFrame([(date(2025, 12, 25),)], schemas.HOLIDAYS)
+    with pytest.raises(ValueError, match="2026"):
+        conform_inputs(spark, tables, feeds, PARAMS)
+
+
+def test_a_closed_run_longer_than_the_look_back_fails(spark):
+    closed = spark.sql("select explode(sequence(date '2025-11-01', date '2026-01-20')) as holiday_date")
+    with pytest.raises(Exception, match="no settlement day in 31 days"):
+        settlement_calendar(closed, day(5), day(14)).collect()
+
+
+def test_first_of_repeated_rules_wins(spark):
+    rules = [(2, "referral", "R1", Decimal("0.02")), (1, "referral", "R1", Decimal("0.01")), (3, "account", "1", Decimal("0.03")), (0, "account", "1", Decimal("0.04"))]
+    rates = spark.createDataFrame(rules, schemas.RATES)
+    got = with_rates(merchants(spark, (1, "R1", "t", 1), (2, "R1", "t", 1)), rates, PARAMS)
+    assert {r.account_id: r.mdr_rate for r in got.collect()} == {1: Decimal("0.04"), 2: Decimal("0.01")}
+
+
+def test_two_rows_of_one_source_fail(spark):
+    spine = spark.createDataFrame([(1, day(6))], "account_id bigint, balance_date date")
+    twice = spark.createDataFrame([(1, day(6), 1), (1, day(6), 2)], "account_id bigint, balance_date date, x int")
+    with pytest.raises(Exception, match="two rows of one source"):
+        daily.lay_on_spine(spine, twice).collect()
+
+
 # --- merchants, rates, exclusions
 
 
@@ -165,9 +220,7 @@ def test_duplicate_merchant_fails_the_job(spark):
         one_row_per_account(df).collect()
 
 
-def test_pruning_early_or_late_gives_the_same_daily_sums(spark):
-    from dataclasses import replace
-
+def test_accounts_out_of_scope_are_pruned(spark):
     from ledgerline.plans.settlement import daily as daily_plan
 
     books = Books()
@@ -175,10 +228,9 @@ def test_pruning_early_or_late_gives_the_same_daily_sums(spark):
     for account in (100, 300, 400, 500):
         books.row(6, account, account=account)
     inputs = books.inputs(spark)
-    late = replace(PARAMS, account_broadcast_rows=0)
-    assert prune_accounts(inputs.ledger, inputs.merchants, late) is inputs.ledger
-    results = [sorted(values(daily_plan(inputs, p), "account_id", "amount_base")) for p in (PARAMS, late)]
-    assert results[0] == results[1] == [(100, Decimal(100)), (200, Decimal(0))]
+    kept = prune_accounts(inputs.ledger, inputs.merchants, PARAMS)
+    assert {r.account_id for r in kept.collect()} == {100, 200}
+    assert sorted(values(daily_plan(inputs, PARAMS), "account_id", "amount_base")) == [(100, Decimal(100)), (200, Decimal(0))]
 
 
 # --- reconciliation
@@ -208,15 +260,20 @@ def recon_keys(spark, present, feed_day=6, trx="9"):
 
 
 def recon_row(spark, issuer_ref="ISS"):
-    row = (100, "m", "Shop", noon(6), "X", "Customer Purchase", Decimal(1), 9, issuer_ref, "000000000077", None, None)
+    row = (100, "m", "Shop", noon(6), "X", "Customer Purchase", Decimal(1), "9", issuer_ref, "000000000077", None, None)
     return signed_ledger(spark.createDataFrame([row], schemas.LEDGER), PARAMS)
 
 
+def flagged(rows, keys):
+    """One row per transaction, as the matching is used: a row comes out once for each reference that matched."""
+    return pick.deduplicate_transactions(recon.flag_matches(rows, keys))
+
+
 @pytest.mark.parametrize("feed", [f.name for f in recon.FEEDS])
 def test_every_feed_matches_on_its_own(spark, feed):
     row = recon_row(spark, "123456789012345678" if feed == "ovo" else "ISS")
     keys, codes = recon_keys(spark, {feed})
-    assert values(recon.flag_matches(row, keys), "is_matched") == [(True,)]
+    assert values(flagged(row, keys), "is_matched") == [(True,)]
     got = values(recon.with_match_key(row, keys, codes), "mcd_approval_code", "key_join_issuer")
     # The approval code the feed holds, else the smallest; duplicate keys and codes add no rows.
     code = "APP" if feed == "linkaja_mcd" else "AAA"
@@ -242,19 +299,19 @@ def test_another_date_or_a_null_key_does_not_match(spark):
     everywhere = {f.name for f in recon.FEEDS}
     row = recon_row(spark)
     next_day, _ = recon_keys(spark, everywhere, 7)
-    assert values(recon.flag_matches(row, next_day), "is_matched") == [(False,)]
+    assert values(flagged(row, next_day), "is_matched") == [(False,)]
     bare = row.withColumns(
         {n: F.lit(None).cast("string") for n in ("issuer_txn_ref", "txn_extref")}
-    ).withColumn("credit_trans_trx_id", F.lit(None).cast("bigint"))
+    ).withColumn("credit_trans_trx_id", F.lit(None).cast("string"))
     same_day, codes = recon_keys(spark, everywhere)
-    assert values(recon.flag_matches(bare, same_day), "is_matched") == [(False,)]
+    assert values(flagged(bare, same_day), "is_matched") == [(False,)]
     got = recon.with_match_key(bare, same_day, codes)
     assert values(got, "key_join_issuer", "mcd_approval_code") == [(None, None)]
 
 
 def test_card_route_needs_a_known_transaction(spark):
     keys, _ = recon_keys(spark, {"linkaja_mcd"}, trx="8")
-    assert values(recon.flag_matches(recon_row(spark), keys), "is_matched") == [(False,)]
+    assert values(flagged(recon_row(spark), keys), "is_matched") == [(False,)]
 
 
 def test_match_split(spark):
@@ -279,7 +336,7 @@ def test_deduplication_prefers_the_matched_row_and_treats_null_ids_as_equal(spar
             (1, None, noon(8), Decimal(40), "a", False),
             (2, None, noon(8), Decimal(50), "a", False),
         ],
-        """account_id bigint, credit_trans_trx_id bigint, txn_date timestamp_ntz,
+        """account_id bigint, credit_trans_trx_id string, txn_date timestamp_ntz,
            amount_base decimal(18,4), merch_name string, is_matched boolean""",
     )
     got = sorted(r.amount_base for r in pick.deduplicate_transactions(df).collect())

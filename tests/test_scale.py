@@ -4,14 +4,14 @@ import random
 import re
 from contextlib import contextmanager
 from dataclasses import replace
-from datetime import datetime
+from datetime import date, datetime
 
 import pytest
 from pyspark.sql import functions as F
 
 from ledgerline.operators import amounts, batches, daily, pick, recon
-from ledgerline.plans import settlement
-from ledgerline.sources import schemas
+from ledgerline.plans import extracts, settlement
+from ledgerline.sources import cuts, schemas
 from ledgerline.sources.inputs import DECLARED, conform_inputs
 from testbed import binding
 from tests.books import PARAMS, Books, noon
@@ -37,7 +37,6 @@ def plan(df) -> str:
 
 
 NO_BROADCAST = {"spark__sql__autoBroadcastJoinThreshold": -1}
-LATE_PRUNING = replace(binding.PARAMS, account_broadcast_rows=0)
 
 
 def rows_of(df):
@@ -48,7 +47,7 @@ def test_report_without_broadcast_joins_is_the_same(spark):
     inputs = binding.inputs(spark, SMALL)
     expected = rows_of(settlement.settlement_report(inputs, binding.PARAMS))
     with settings(spark, **NO_BROADCAST, spark__sql__adaptive__autoBroadcastJoinThreshold=-1):
-        assert rows_of(settlement.settlement_report(inputs, LATE_PRUNING)) == expected
+        assert rows_of(settlement.settlement_report(inputs, binding.PARAMS)) == expected
 
 
 def test_report_does_not_depend_on_the_session_time_zone(spark):
@@ -69,6 +68,7 @@ def test_tables_stored_by_date_are_pruned(spark, tmp_path):
     clock = {"ledger": "txn_date", "transactions": "trx_date", "ops_balances": "processed_dttm"}
     tables, feeds = {n: getattr(inputs, n) for n in DECLARED}, {}
     tables["transactions"] = spark.createDataFrame([("1", noon(6))], schemas.TRANSACTIONS)
+    tables["public_holidays"] = spark.createDataFrame([(date(2025, 12, 25),), (date(2026, 1, 1),)], schemas.HOLIDAYS)
     for name, column in clock.items():
         path = str(tmp_path / name)
         tables[name].withColumn("dt", F.to_date(column)).write.partitionBy("dt").parquet(path)
@@ -94,6 +94,26 @@ def test_a_date_far_in_the_future_neither_blows_up_the_report_nor_changes_it(spa
     assert stray.report(spark) == books().report(spark)
     days = settlement.days_of(stray.inputs(spark), PARAMS, settlement.last_reported_day(PARAMS))
     assert days.count() == 2 * len(range(5, 14))
+    # Without a given end the spine ends with the tail after the run date.
+    assert settlement.days_of(stray.inputs(spark), PARAMS).count() == 2 * len(range(5, 14 + 7 + 1))
+
+
+def test_one_join_matches_all_routes(spark):
+    """Ledger rows are shuffled for one look-up and for the de-duplication, not once for each route."""
+    inputs = binding.inputs(spark, SMALL)
+    with settings(spark, **NO_BROADCAST):
+        text = plan(recon.flag_matches(inputs.ledger.withColumn("trx_date", F.to_date("txn_date")), settlement.match_keys(inputs, binding.PARAMS)))
+        left = [line for line in text.splitlines() if "LeftOuter" in line]
+    assert len(left) == 1
+
+
+def test_no_look_up_of_codes_that_nobody_reads(spark):
+    inputs = binding.inputs(spark, SMALL)
+    given = extracts.extracts(inputs, binding.PARAMS, all_codes=False)
+    rows = extracts.settled_rows(given.base, binding.PARAMS)
+    with settings(spark, **NO_BROADCAST):
+        assert "_code" not in rows._jdf.queryExecution().optimizedPlan().toString()
+        assert "match_key" not in plan(extracts.extract_counts(inputs, binding.PARAMS))
 
 
 def test_spine_and_walk_share_one_exchange_and_one_sort(spark):
@@ -167,8 +187,7 @@ def test_hot_groups_keep_their_whole_result(spark, broadcast):
         spark__sql__adaptive__advisoryPartitionSizeInBytes="16KB",
         spark__sql__adaptive__skewJoin__skewedPartitionFactor=1.2,
     ):
-        params = PARAMS if broadcast else replace(PARAMS, account_broadcast_rows=0)
-        totals = settlement.daily(hot_books(spark, n), params)
+        totals = settlement.daily(hot_books(spark, n), PARAMS)
         got = {r.account_id: r for r in totals.collect()}
     assert got[100].amount_base == 10 and got[100].unmatched_traffic == 0
     assert got[200].unmatched_amount == 10 and got[200].unmatched_traffic == 1

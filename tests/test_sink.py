@@ -92,8 +92,9 @@ def test_command_line_run_from_stored_tables(spark, tmp_path, capsys):
 
     inputs = Books().row(6, 100000).balance(7, 100000).inputs(spark)
     config = {"tables": {}, "feeds": {}, "rename": {"ledger": {"txn_extref": "ext_reference"}}}
-    for name in [*DECLARED, "rates"]:
-        df = getattr(inputs, name)
+    given = {n: getattr(inputs, n) for n in [*DECLARED, "rates"]}
+    given["public_holidays"] = spark.createDataFrame([(date(2025, 12, 25),), (date(2026, 1, 1),)], "holiday_date date")
+    for name, df in given.items():
         df = df.withColumnRenamed("txn_extref", "ext_reference") if name == "ledger" else df
         config["tables"][name] = str(tmp_path / name)
         df.write.parquet(config["tables"][name])

@@ -162,7 +162,7 @@ def test_batch_sums_add_up_to_the_ledger(spark):
 def test_arrival_order_does_not_matter(spark):
     books = random_books(5)
     # Several rows under one id, and several without any: a choice has to be made.
-    books.ledger = [(*r[:7], r[7] % 40 if r[7] % 5 else None, *r[8:]) for r in books.ledger]
+    books.ledger = [(*r[:7], str(int(r[7]) % 40) if int(r[7]) % 5 else None, *r[8:]) for r in books.ledger]
 
     def settled(shuffle_seed):
         shuffled = random_books(5)

@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from ledgerline.llm import contamination, licenses, nearest, neardup, ngrams, pieces, quality, secrets, toxicity, warc
+from ledgerline.llm import contamination, licenses, nearest, neardup, ngrams, oracle, pieces, quality, secrets, toxicity, warc
 from ledgerline.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -50,4 +50,5 @@ QUERIES: dict[str, Query] = {
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
+    whole = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
+    return {**whole, **oracle.oracle_sql()}

@@ -6,7 +6,7 @@ from itertools import combinations
 import numpy as np
 import pytest
 
-from ledgerline.llm import contamination, licenses, neardup
+from ledgerline.llm import contamination, licenses, neardup, queries
 from ledgerline.llm.components import components
 from ledgerline.llm.license_texts import NOTICES
 from tests.llm.rows import ODD, none, odd, table
@@ -43,6 +43,15 @@ def test_components_equal_all_pairs(spark, size, percent):
     assert all(r.kept == (r.doc_id == r.component_id) for r in got)
 
 
+def test_components_equal_the_sql(spark):
+    duckdb = pytest.importorskip("duckdb")
+    got = queries.QUERIES["op7_minhash"](spark, "/root/testdata/sf0.01").toPandas().sort_values("doc_id")
+    with duckdb.connect() as connection:
+        connection.execute("create view documents as select * from '/root/testdata/sf0.01/documents.parquet'")
+        want = connection.sql(queries.oracle_sql()["op7_minhash"]).fetchall()
+    assert list(got[["doc_id", "n_shingles", "component_id", "kept"]].itertuples(index=False, name=None)) == sorted(want)
+
+
 def test_a_group_of_edited_copies_equals_all_pairs(spark):
     """Chains and many copies of one text, so that hubs leave some members apart."""
     rng = random.Random(5)

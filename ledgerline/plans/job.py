@@ -31,7 +31,9 @@ def main(argv: Sequence[str] | None = None) -> Written:
     args = parser.parse_args(argv)
 
     config = json.loads(Path(args.config).read_text())
-    spark = SparkSession.builder.appName("settlement").getOrCreate()
+    builder = SparkSession.builder.appName("settlement")
+    # Checkpoints go when nothing refers to them any more, so that daily runs leave none behind.
+    spark = builder.config("spark.cleaner.referenceTracking.cleanCheckpoints", "true").getOrCreate()
     params = Params(as_of=args.as_of or date.today())
     written = run(read_inputs(spark, params=params, **config), params, args.out)
     print(f"{written.rows} rows on {len(written.dates)} settle dates")

@@ -47,7 +47,9 @@ def _drop_dates(spark: SparkSession, path: str, dates: list[date]) -> None:
     root = jvm.org.apache.hadoop.fs.Path(path)
     files = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     for day in dates:
-        files.delete(jvm.org.apache.hadoop.fs.Path(root, f"balance_date={day}"), True)
+        old = jvm.org.apache.hadoop.fs.Path(root, f"balance_date={day}")
+        if files.exists(old) and not files.delete(old, True):
+            raise OSError(f"could not delete {old}")
 
 
 def replace_window(report: DataFrame, path: str, first: date, last: date) -> Written:

@@ -236,6 +236,8 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     of_class = classes.join(labels, classes["rep"] == labels["doc_id"], "left").select(
         "set_id", F.coalesce("component_id", "rep").alias("component_id")
     )
+    # Cut, so that both sides of the last join come straight from a shuffle and a class of very many copies can be split.
+    of_class = cut(of_class)
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
     return rows.select("doc_id", "n_shingles", F.coalesce("set_id", F.concat_ws("-", F.lit("none"), "doc_id")).alias("set_id")).join(
         of_class, "set_id", "left"

@@ -37,7 +37,8 @@ NEEDS = {"account": ("key",), "key": ("account",), "endpoint": ("account", "key"
 ACCOUNT = re.compile(
     r"(?ai:user(?:_?name)?|login|account(?:_?id)?|client_?id|access_?key_?id)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9][\w.@-]{2,63})", re.A
 )
-KEY = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{32,128}={0,2}(?![A-Za-z0-9+/_=-])")
+#: A whole run of any length; it may be the value of ``NAME=VALUE``.
+KEY = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{32,}+={0,2}+(?![A-Za-z0-9+/_=-])")
 ENDPOINT = re.compile(
     r"(?ai:https?|ftp|ssh|postgres(?:ql)?|mysql|mongodb|redis|amqp|s3)://[A-Za-z0-9.-]+(?::\d+)?"
     r"|(?ai:host(?:_?name)?|endpoint|server)[\"']?\x20*[:=]\x20*[\"']?[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+(?::\d+)?",

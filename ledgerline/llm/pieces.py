@@ -2,9 +2,9 @@
 
 An Aho-Corasick automaton over all pieces reads a text once; at each position its
 output links name every piece that ends there, and each relaxes the best score up to
-that position (Viterbi). Pieces hold the word mark only at their start, so the best
-path is the chain of the best paths of the marked words, and a word's path can be
-remembered. Models are read, never trained.
+that position (Viterbi). Pieces hold word marks, one or many, only at their start, so the
+best path is the chain of the best paths of the words, each with all marks before it, and
+a word's path can be remembered. Models are read, never trained.
 """
 
 from __future__ import annotations
@@ -47,7 +47,7 @@ class Model:
 
     @cached_property
     def splits(self) -> bool:
-        """No piece has a mark after another character, so the marked words are independent."""
+        """No piece has a mark after another character, so words with their runs of marks are independent."""
         return not any(MARK in p.lstrip(MARK) for i, p in enumerate(self.pieces) if i not in self.reserved)
 
     @cached_property
@@ -57,7 +57,7 @@ class Model:
 
     @cached_property
     def chunks(self) -> re.Pattern:
-        """Runs that no piece crosses the end of, each with the mark before it.
+        """Runs that no piece crosses the end of, each with all marks before it, which one piece may span.
 
         A text may be cut between a letter or digit and a character that stands beside
         none in any piece; near other signs it is cut at marks only.
@@ -67,7 +67,7 @@ class Model:
         beside = {c for p in used for a, b in pairwise(p) for c, d in ((a, b), (b, a)) if d.isalnum()}
         apart, joined = (re.escape("".join(sorted(x - {MARK}))) for x in (signs - beside, signs & beside))
         near = f"(?![{joined}])" if joined else ""
-        return re.compile(rf"{MARK}?[^{MARK}{apart}{joined}]++{near}|{MARK}?[{apart}]++{near}|{MARK}?[^{MARK}]+|{MARK}")
+        return re.compile(rf"{MARK}*+[^{MARK}{apart}{joined}]++{near}|{MARK}*+[{apart}]++{near}|{MARK}*+[^{MARK}]+|{MARK}++")
 
     @cached_property
     def automaton(self) -> ahocorasick.Automaton:

@@ -151,17 +151,20 @@ def item_words(benchmark: DataFrame) -> DataFrame:
 
 
 def seed_rows(items: DataFrame) -> DataFrame:
+    """The distinct seeds of each item, with the number of places that each has in it."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, values = [], []
+            ids, values, counts = [], [], []
             for item, words in zip(batch.column("item_id").to_pylist(), batch.column("words").to_pylist(), strict=True):
-                own = np.unique(seeds(np.array(words, np.int64).view(np.uint64))).view(np.int64)
+                own, places = np.unique(seeds(np.array(words, np.int64).view(np.uint64)), return_counts=True)
                 ids += [item] * len(own)
-                values.append(own)
-            joined = np.concatenate(values) if values else np.zeros(0, np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(joined)], names=["item_id", "seed"])
+                values.append(own.view(np.int64))
+                counts.append(places)
+            flat = [np.concatenate(v) if v else np.zeros(0, np.int64) for v in (values, counts)]
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), *map(pa.array, flat)], names=["item_id", "seed", "places"])
 
-    return items.mapInArrow(run, "item_id long, seed long")
+    return items.mapInArrow(run, "item_id long, seed long, places long")
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) -> DataFrame:
@@ -183,8 +186,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERA
     rows = kept_table(map_texts(texts(docs).where("text <> ''"), hits, "seeds array<bigint>", text=True).withColumn("key", row_key()))
     rows = rows.dropDuplicates(["key"])
     met = rows.select("key", F.explode("seeds").alias("seed")).join(wanted, "seed")
-    # Each shared run adds at most its own words to the coverage, so few shared runs can't reach it.
-    pairs = met.groupBy("key", "item_id").agg(F.count("*").alias("n")).join(items, "item_id")
+    # Each place of a shared run adds at most its own words to the coverage, so few places can't reach it.
+    pairs = met.groupBy("key", "item_id").agg(F.sum("places").alias("n")).join(items, "item_id")
     pairs = pairs.where(F.col("n") * SEED >= coverage * F.size("words"))
     grouped = pairs.groupBy("key").agg(F.collect_list(F.struct("item_id", "words")).alias("items"))
     both = rows.select("key", "doc_id", "text").join(grouped, "key")

@@ -4,7 +4,8 @@ Documents and benchmark items that share a run of ``SEED`` words meet in a join
 the run's hash. Each such pair is tiled by running Karp-Rabin matching: the longest
 common run that overlaps no earlier one is marked, again and again down to ``SEED``
 words. The share of the item under tiles is its coverage, which the order of the
-passages in the document does not change.
+passages in the document does not change. An item of fewer than ``SEED`` words is met
+by its whole run of words.
 """
 
 from __future__ import annotations
@@ -64,8 +65,13 @@ def numbered(batch: list[str]) -> Iterator[np.ndarray]:
     yield from flush()
 
 
-def seeds(h: np.ndarray) -> np.ndarray:
-    return mixed(runs(h, SEED))
+def seeds(h: np.ndarray, length: int = SEED) -> np.ndarray:
+    return mixed(runs(h, length))
+
+
+def seed_length(words: int) -> int:
+    """Of an item of so many words."""
+    return min(SEED, words)
 
 
 def tiles(item: np.ndarray, doc: np.ndarray, least: int = SEED) -> list[tuple[int, int, int]]:
@@ -114,11 +120,11 @@ def _scan(item: np.ndarray, doc: np.ndarray, item_free: np.ndarray, doc_free: np
     return sorted(out, key=lambda m: (-m[0], m[1], m[2]))
 
 
-def shared_part(doc: np.ndarray, doc_seeds: np.ndarray, item_seeds: np.ndarray) -> np.ndarray:
-    """The document's words inside runs that the item has too, with a gap of a word no item has between them."""
+def shared_part(doc: np.ndarray, doc_seeds: np.ndarray, item_seeds: np.ndarray, length: int = SEED) -> np.ndarray:
+    """The document's words inside runs of ``length`` that the item has too, with a gap of a word no item has between them."""
     hit = np.isin(doc_seeds, item_seeds)
     inside = np.zeros(len(doc), bool)
-    for i in range(SEED):
+    for i in range(length):
         inside[i : i + len(hit)] |= hit
     # One more word at each end of a stretch, always a different one, so that stretches do not run together.
     out = np.where(inside, doc, np.uint64(0))
@@ -129,10 +135,13 @@ def _measured(batches: Iterator[pd.DataFrame], coverage: float) -> Iterator[pd.D
     for batch in batches:
         out = []
         for row, h in zip(batch.itertuples(), numbered(batch.text.tolist()), strict=True):
-            own = seeds(h)
+            own: dict[int, np.ndarray] = {}
             for item in row.items:
                 words = np.array(item["words"], np.int64).view(np.uint64)
-                found = tiles(words, shared_part(h, own, seeds(words)))
+                n = seed_length(len(words))
+                if n not in own:
+                    own[n] = seeds(h, n)
+                found = tiles(words, shared_part(h, own[n], seeds(words, n), n), n)
                 covered = sum(k for k, _, _ in found)
                 if covered >= coverage * len(words):
                     out.append((row.doc_id, row.key, item["item_id"], len(words), covered, len(found), found[0][0]))
@@ -142,12 +151,19 @@ def _measured(batches: Iterator[pd.DataFrame], coverage: float) -> Iterator[pd.D
 
 
 def item_words(benchmark: DataFrame) -> DataFrame:
-    """``item_id`` and hashed words of the items of at least ``SEED`` words; shorter ones are no evidence."""
+    """``item, item_id, words``: the hashed words of each item that has any; ``item`` names it by its id and words.
+
+    One row for each id and run of words. An item without an id stands only for words that no item with an id has.
+    """
     rows = benchmark.select(
         F.col("item_id").cast("long").alias("item_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
     )
     made = map_texts(rows, lambda b: {"words": [h.view(np.int64) for h in numbered(b)]}, "words array<bigint>")
-    return made.where((F.size("words") >= SEED) & F.col("item_id").isNotNull()).dropDuplicates(["item_id"])
+    made = cut(made.where(F.size("words") > 0).dropDuplicates(["item_id", "words"]))
+    named, nameless = made.where("item_id is not null"), made.where("item_id is null")
+    each = named.unionByName(nameless.join(named.select("words"), "words", "left_anti"))
+    spelt = F.concat_ws(",", F.col("words").cast("array<string>"))
+    return each.withColumn("item", F.md5(F.concat_ws("\u0000", F.coalesce(F.col("item_id").cast("string"), F.lit("-")), spelt)))
 
 
 def seed_rows(items: DataFrame) -> DataFrame:
@@ -156,15 +172,16 @@ def seed_rows(items: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, values, counts = [], [], []
-            for item, words in zip(batch.column("item_id").to_pylist(), batch.column("words").to_pylist(), strict=True):
-                own, places = np.unique(seeds(np.array(words, np.int64).view(np.uint64)), return_counts=True)
+            for item, words in zip(batch.column("item").to_pylist(), batch.column("words").to_pylist(), strict=True):
+                h = np.array(words, np.int64).view(np.uint64)
+                own, places = np.unique(seeds(h, seed_length(len(h))), return_counts=True)
                 ids += [item] * len(own)
                 values.append(own.view(np.int64))
                 counts.append(places)
             flat = [np.concatenate(v) if v else np.zeros(0, np.int64) for v in (values, counts)]
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), *map(pa.array, flat)], names=["item_id", "seed", "places"])
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.string()), *map(pa.array, flat)], names=["item", "seed", "places"])
 
-    return items.mapInArrow(run, "item_id long, seed long, places long")
+    return items.mapInArrow(run, "item string, seed long, places long")
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) -> DataFrame:
@@ -172,22 +189,24 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERA
 
     ``doc_id, key, item_id, item_words, covered_words, n_tiles, longest_tile``; ``key`` names the row
     by its content, also where the id is null. Repeated rows count once. Null and empty
-    texts, and items of fewer than ``SEED`` words, are in no pair. Of repeated item ids
-    one text counts.
+    texts and items are in no pair. Each text of a repeated item id counts, and one without an
+    id. An item of fewer than ``SEED`` words is in each document that has them all in a row.
     """
     items = cut(item_words(benchmark))
     wanted = cut(seed_rows(items))
     bits = bitmap(wanted, "seed")
+    lengths = sorted(r.n for r in items.select(F.least(F.size("words"), F.lit(SEED)).alias("n")).distinct().collect())
 
     def hits(batch: list[str]) -> dict:
-        found = [s[in_bitmap(bits, s)] for s in map(seeds, numbered(batch))]
+        own = (np.concatenate([np.zeros(0, np.uint64), *(seeds(h, n) for n in lengths)]) for h in numbered(batch))
+        found = [s[in_bitmap(bits, s)] for s in own]
         return {"seeds": [np.unique(s).view(np.int64) for s in found], None: [len(s) > 0 for s in found]}
 
     rows = kept_table(map_texts(texts(docs).where("text <> ''"), hits, "seeds array<bigint>", text=True).withColumn("key", row_key()))
     rows = rows.dropDuplicates(["key"])
     met = rows.select("key", F.explode("seeds").alias("seed")).join(wanted, "seed")
     # Each place of a shared run adds at most its own words to the coverage, so few places can't reach it.
-    pairs = met.groupBy("key", "item_id").agg(F.sum("places").alias("n")).join(items, "item_id")
+    pairs = met.groupBy("key", "item").agg(F.sum("places").alias("n")).join(items, "item")
     pairs = pairs.where(F.col("n") * SEED >= coverage * F.size("words"))
     grouped = pairs.groupBy("key").agg(F.collect_list(F.struct("item_id", "words")).alias("items"))
     both = rows.select("key", "doc_id", "text").join(grouped, "key")

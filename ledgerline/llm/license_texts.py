@@ -22,6 +22,16 @@ NOTICES: tuple[tuple[str, str, str], ...] = (
         "with the distribution.",
     ),
     ("BSD-3-Clause", "bsd", "Released under the BSD 3-Clause License."),
+    (
+        "BSD-3-Clause",
+        "redistribution binary neither endorse",
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+        "following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list "
+        "of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright "
+        "notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided "
+        "with the distribution. 3. Neither the name of the copyright holder nor the names of its contributors may be used "
+        "to endorse or promote products derived from this software without specific prior written permission.",
+    ),
     ("CC0-1.0", "cc0", "Released under CC0 1.0 Universal, public domain dedication."),
     ("CC-BY-4.0", "attribution international", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
     ("CC-BY-NC-4.0", "by nc", "Licensed under CC BY-NC 4.0."),

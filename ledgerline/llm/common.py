@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -50,6 +51,27 @@ def broadcast_if_small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
+SLICE_BYTES = 2_000_000
+
+
+def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of about ``limit`` bytes of ``column``: what a worker holds follows bytes, not rows.
+
+    A longer value is a batch by itself. Empty batches go.
+    """
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+        ends = np.cumsum(sizes, dtype=np.int64)
+        at = 0
+        while at < batch.num_rows:
+            before = ends[at - 1] if at else 0
+            stop = max(at + 1, int(np.searchsorted(ends, before + limit, "right")))
+            yield batch.slice(at, stop - at)
+            at = stop
+        del batch
+        pa.default_memory_pool().release_unused()
+
+
 def map_texts(
     df: DataFrame, per_batch: Callable[[list[str]], dict[str, list | np.ndarray | pa.Array]], schema: str, text: bool = False
 ) -> DataFrame:
@@ -64,9 +86,7 @@ def map_texts(
     passed, own = [f.name for f in kept], {f.name: f.type for f in to_arrow_schema(out)}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in slices(batches, "text"):
             made = per_batch(batch.column("text").to_pylist())
             columns = [batch.column(n) for n in passed]
             columns += [made[n] if isinstance(made[n], pa.Array) else pa.array(made[n], kind) for n, kind in own.items()]

@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from ledgerline.llm import contamination, licenses, nearest, neardup, ngrams, oracle, pieces, quality, secrets, toxicity, warc
+from ledgerline.llm import alignment, chat, contamination, licenses, nearest, neardup, ngrams, oracle, periodic, pieces, quality, secrets, toxicity, warc
 from ledgerline.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -46,6 +46,9 @@ QUERIES: dict[str, Query] = {
     "op8_quality": _query(quality.quality_scores, "documents", "labels"),
     "op9_nearest": _query(nearest.every_twentieth, "embeddings"),
     "op10_licenses": _query(licenses.find_licenses, "documents"),
+    "op11_chat": _query(chat.report, "conversations"),
+    "op12_alignment": _query(alignment.report, "documents"),
+    "op13_periodic": _query(periodic.planted_report, "documents"),
 }
 
 

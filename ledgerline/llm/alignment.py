@@ -50,7 +50,8 @@ WORDS = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s
 def byte_letters() -> dict[str, int]:
     """The letter that stands for each byte in a byte-level vocabulary: printable ones as they are, the rest from 256 on."""
     plain = [*range(ord("!"), ord("~") + 1), *range(ord("¡"), ord("¬") + 1), *range(ord("®"), ord("ÿ") + 1)]
-    others = [b for b in range(256) if b not in set(plain)]
+    known = set(plain)
+    others = [b for b in range(256) if b not in known]
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(others)}
 
 

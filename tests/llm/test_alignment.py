@@ -28,10 +28,10 @@ class Plain:
         self.a.encode_special_tokens = True
         self.b = sentencepiece.SentencePieceProcessor(model_file=alignment.PIECE_MODEL)
         self.names = {i: t for t, i in self.a.get_vocab().items()}
+        self.letters = alignment.byte_letters()
 
     def of_a(self, i):
-        letters = alignment.byte_letters()
-        return self.names[i].encode() if i == 50256 else bytes(letters[c] for c in self.names[i])
+        return self.names[i].encode() if i == 50256 else bytes(self.letters[c] for c in self.names[i])
 
     def of_b(self, i):
         piece = self.b.id_to_piece(i)

@@ -87,7 +87,7 @@ def test_random_texts_with_repeated_ids(spark, long_text):
 
 
 def test_given_short_documents(spark):
-    docs = table(spark, "documents").where("n_chars < 2500")
+    docs = table(spark, "documents").where("n_chars < 1200")
     expected = [(r.doc_id, *told(planted(r.doc_id, words(r.text)))) for r in docs.collect()]
     assert sorted(map(tuple, periodic.planted_report(docs).collect())) == sorted(expected)
 

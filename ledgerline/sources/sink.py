@@ -1,11 +1,12 @@
 """Report sink: text forms, and replacing one window of a table stored by date."""
 
 from dataclasses import dataclass
-from datetime import date, timedelta
+from datetime import date
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerline.sources import snapshots
 from ledgerline.sources.schemas import STORED_REPORT
 
 
@@ -42,31 +43,26 @@ class Written:
 STATUSES = ("CONFIRM", "NOT MATCH", "MINIMUM NOT MET")
 
 
-def _drop_dates(spark: SparkSession, path: str, dates: list[date]) -> None:
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    files = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    for day in dates:
-        old = jvm.org.apache.hadoop.fs.Path(root, f"balance_date={day}")
-        if files.exists(old) and not files.delete(old, True):
-            raise OSError(f"could not delete {old}")
+DAY = "_day"
 
 
-def replace_window(report: DataFrame, path: str, first: date, last: date) -> Written:
-    """Replace the settle dates ``first``..``last`` of the table at ``path`` by ``report``.
+def replace_window(
+    report: DataFrame, path: str, first: date, last: date, create: snapshots.Create = snapshots.create_if_absent
+) -> Written:
+    """Replace the settle dates ``first``..``last`` of the table at ``path`` by ``report``, as one commit.
 
-    One job writes the new dates and swaps each in for its old directory
-    (dynamic partition overwrite); dates of the window that have no rows any more
-    are dropped after it. Dates outside the window are neither read nor
-    rewritten. An empty report changes nothing. A run that stops half way can
-    leave old dates behind but no doubled rows, and running it again gives the
-    same table as a run that did not stop. Failures raise.
+    The new dates are written to a folder of their own. One file then makes them, and the folders of
+    all dates outside the window as they were, the next version of the table:
+    readers see the whole window before or after it. A run that stops half way leaves the table as it
+    was; so does an empty report. If another run committed since this one began, this one
+    raises :class:`snapshots.Conflict` and changes nothing. Failures raise.
 
     ``rebalance`` sizes the files per date at run time and splits a large date
     over several tasks. The counts are observed after it, in the stage that
     writes, where a re-run task is counted once.
     """
-    spark = report.sparkSession
+    snapshots.check_location(path, report.sparkSession.sparkContext.master)
+    base, folder = snapshots.manifest(path), snapshots.new_folder()
     seen = Observation("settlement_report")
     status = F.col("confirm_to_transfer")
     rows = (
@@ -80,12 +76,7 @@ def replace_window(report: DataFrame, path: str, first: date, last: date) -> Wri
             *[F.count(F.when(status == s, 1)).alias(s) for s in STATUSES],
         )
     )
-    (
-        rows.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("balance_date")
-        .parquet(path)
-    )
+    rows.withColumn(DAY, F.col("balance_date")).write.partitionBy(DAY).parquet(f"{path}/{folder}")
     metrics = seen.get
     written = Written(
         rows=metrics["rows"],
@@ -93,10 +84,18 @@ def replace_window(report: DataFrame, path: str, first: date, last: date) -> Wri
         by_status={s: metrics[s] for s in STATUSES},
     )
     if written.rows:
-        window = [first + timedelta(days=n) for n in range((last - first).days + 1)]
-        _drop_dates(spark, path, [d for d in window if d not in written.dates])
+        outside = {day: at for day, at in base.folders.items() if not first <= day <= last}
+        snapshots.commit(path, base, outside | {day: f"{folder}/{DAY}={day}" for day in written.dates}, create)
     return written
 
 
-def read_report(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(STORED_REPORT).parquet(path).select(STORED_REPORT.names)
+def read_report(
+    spark: SparkSession, path: str, first: date | None = None, last: date | None = None, version: int | None = None
+) -> DataFrame:
+    """The latest version of the table, or ``version``; of the settle dates ``first``..``last`` if given, no other folder is listed."""
+    snapshots.check_location(path, spark.sparkContext.master)
+    held = snapshots.manifest(path, version).folders.items()
+    folders = [f"{path}/{f}" for day, f in sorted(held) if (first is None or day >= first) and (last is None or day <= last)]
+    if not folders:
+        return spark.createDataFrame([], STORED_REPORT)
+    return spark.read.schema(STORED_REPORT).option("recursiveFileLookup", "true").parquet(*folders)

@@ -1,6 +1,6 @@
 """Daily sums and the dense account x day relation they are laid out on."""
 
-from datetime import date, timedelta
+from datetime import date
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -68,22 +68,24 @@ def daily_totals_of_priced_rows(rows: DataFrame, params: Params) -> DataFrame:
     return priced.groupBy("account_id", "balance_date").agg(*sums)
 
 
-def date_bounds(daily: DataFrame) -> tuple[date, date] | None:
-    """First and last active day over all accounts: one row of two dates."""
-    low, high = daily.agg(F.min("balance_date"), F.max("balance_date")).first()
-    return None if low is None else (low, high)
+Day = date | Column
 
 
-def spine_bounds(daily: DataFrame, params: Params) -> tuple[date, date]:
-    """First active day, and the end of the tail after the last one, or after ``as_of`` if that is earlier.
+def spine_bounds(daily: DataFrame, params: Params, until: date | None = None) -> tuple[Column, Column]:
+    """First active day, and the end of the tail after the last one, or after ``as_of`` or at ``until`` if that is earlier.
 
-    A row dated far in the future so adds no days.
+    A row dated far in the future so adds no days. Both are scalar subqueries: one row of two
+    dates, computed when the plan runs and not while it is built.
     """
-    first, last = date_bounds(daily) or (params.as_of, params.as_of)
-    return min(first, params.as_of), min(last, params.as_of) + timedelta(days=params.spine_tail_days)
+    as_of = F.lit(params.as_of)
+    low, high = (F.least(F.coalesce(day, as_of), as_of) for day in (F.min("balance_date"), F.max("balance_date")))
+    last = F.date_add(high, params.spine_tail_days)
+    if until is not None:
+        last = F.greatest(low, F.least(last, F.lit(until)))
+    return daily.agg(low.alias("first")).scalar(), daily.agg(last.alias("last")).scalar()
 
 
-def account_spine(daily: DataFrame, first: date, last: date) -> DataFrame:
+def account_spine(daily: DataFrame, first: Day, last: Day) -> DataFrame:
     """Every account on every day, named as on its last active day (which may be null)."""
     accounts = daily.groupBy("account_id").agg(F.max_by("merch_name", "balance_date").alias("merch_name"))
     return accounts.withColumn("balance_date", F.explode(F.sequence(F.lit(first), F.lit(last))))
@@ -112,13 +114,13 @@ def lay_on_spine(spine: DataFrame, *sources: DataFrame) -> DataFrame:
     return laid.where("_on_spine").drop("_on_spine")
 
 
-def spine_days(daily: DataFrame, first: date, last: date, *sources: DataFrame) -> DataFrame:
+def spine_days(daily: DataFrame, first: Day, last: Day, *sources: DataFrame) -> DataFrame:
     """Every account on every day with its daily sums, where there are any, and other sources.
 
     Sources are cut to the days of the spine first; that filter reaches their scans.
     """
     spine = account_spine(daily, first, last).withColumnRenamed("merch_name", "_last_name")
-    on_days = F.col("balance_date").between(first, last)
+    on_days = F.col("balance_date").between(F.lit(first), F.lit(last))
     return (
         lay_on_spine(spine, *[source.where(on_days) for source in (daily, *sources)])
         .withColumn("merch_name", F.coalesce("_last_name", "merch_name"))

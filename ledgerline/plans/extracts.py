@@ -21,7 +21,7 @@ from ledgerline.operators.recon import approval_codes, with_match_key
 from ledgerline.operators.report import report_rows
 from ledgerline.plans.params import Params
 from ledgerline.plans.rates import merchant_dimension, referral_in_scope
-from ledgerline.plans.settlement import last_reported_day, lay_out, match_keys, recent_ops
+from ledgerline.plans.settlement import HolidaySource, last_reported_day, lay_out, match_keys, recent_ops
 from ledgerline.sources import schemas
 from ledgerline.sources.cuts import cut
 from ledgerline.sources.inputs import Inputs
@@ -142,10 +142,10 @@ def measures_of(given: Extracts, params: Params) -> DataFrame:
     )
 
 
-def report_from_extracts(given: Extracts, holidays: DataFrame, params: Params) -> DataFrame:
+def report_from_extracts(given: Extracts, calendar: HolidaySource, params: Params) -> DataFrame:
     totals = cut(daily_totals_of_priced_rows(settled_rows(given.base, params), params))
     until = last_reported_day(params)
     ops = schemas.conform(given.ops_balances, schemas.OPS_BALANCES, zone=params.zone)
     banks = schemas.conform(given.bank_accounts, schemas.BANK_ACCOUNTS)
-    days = lay_out(totals, measures_of(given, params), ops, holidays, params, until)
+    days = lay_out(totals, measures_of(given, params), ops, calendar, params, until)
     return report_rows(settlements(days, params), banks, params)

@@ -24,14 +24,15 @@ def rate_card(
 
 
 def with_rates(merchants: DataFrame, rates: DataFrame, params: Params) -> DataFrame:
-    """Add ``mdr_rate``: the account's first rule, else its referral's first, else the default."""
-    first = rates.groupBy("kind", "key").agg(F.min(F.struct("place", "rate")).alias("rule"))
-    by_account = first.where("kind = 'account'").select(
-        F.col("key").cast("bigint").alias("account_id"), F.col("rule.rate").alias("_account_rate")
-    )
-    by_referral = first.where("kind = 'referral'").select(
-        F.col("key").alias("referral_code_acquisition"), F.col("rule.rate").alias("_referral_rate")
-    )
+    """Add ``mdr_rate``: the account's first rule, else its referral's first, else the default.
+
+    Account keys count as numbers, so ``007`` and ``7`` are one; a key that is no number names no account.
+    """
+    first = F.min(F.struct("place", "rate"))["rate"]
+    account = F.col("key").try_cast("decimal(38,0)").try_cast("bigint").alias("account_id")
+    by_account = rates.where("kind = 'account'").groupBy(account).agg(first.alias("_account_rate"))
+    referral = F.col("key").alias("referral_code_acquisition")
+    by_referral = rates.where("kind = 'referral'").groupBy(referral).agg(first.alias("_referral_rate"))
     rate = F.coalesce("_account_rate", "_referral_rate", F.lit(params.default_rate).cast(RATE))
     return (
         merchants.join(by_account, "account_id", "left")

@@ -1,6 +1,7 @@
 """The settlement plan: inputs to report."""
 
 from datetime import date
+from typing import Protocol
 
 from pyspark.sql import DataFrame
 
@@ -25,6 +26,13 @@ from ledgerline.sources.cuts import cut
 from ledgerline.sources.inputs import Inputs
 
 
+class HolidaySource(Protocol):
+    """The holidays, and the intervals for which they are known; without those it is taken that they are."""
+
+    holidays: DataFrame
+    holidays_known: DataFrame | None
+
+
 def match_keys(inputs: Inputs, params: Params) -> dict[str, DataFrame]:
     return keys_by_route(inputs.feeds, inputs.transactions, inputs.card_refs, params)
 
@@ -57,15 +65,13 @@ def lay_out(
     totals: DataFrame,
     measures: DataFrame,
     ops: DataFrame,
-    holidays: DataFrame,
+    inputs: HolidaySource,
     params: Params,
     until: date | None = None,
 ) -> DataFrame:
     """The account-day relation over the days that ``totals`` spans plus the tail, or ``until``."""
-    first, last = spine_bounds(totals, params)
-    if until is not None:
-        last = max(first, min(last, until))
-    calendar = settlement_calendar(holidays, first, last)
+    first, last = spine_bounds(totals, params, until)
+    calendar = settlement_calendar(inputs.holidays, first, last, inputs.holidays_known)
     spine = spine_days(totals, first, last, measures, ops_by_balance_date(ops))
     return account_days(spine, calendar, params)
 
@@ -84,7 +90,7 @@ def days_of(inputs: Inputs, params: Params, until: date | None = None) -> DataFr
         cut(daily(inputs, params)),
         day_measures(inputs.ledger, params),
         recent_ops(inputs.ops_balances, params),
-        inputs.holidays,
+        inputs,
         params,
         until,
     )

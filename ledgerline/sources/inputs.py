@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.operators.recon import FEEDS
-from ledgerline.plans.calendar import check_span, holiday_table
+from ledgerline.plans.calendar import holiday_table
 from ledgerline.plans.params import Params
 from ledgerline.plans.rates import rate_card
 from ledgerline.sources import schemas
@@ -24,6 +24,7 @@ class Inputs:
     ops_balances: DataFrame
     holidays: DataFrame
     rates: DataFrame
+    holidays_known: DataFrame | None = None
 
 
 DECLARED = {
@@ -46,10 +47,11 @@ def conform_inputs(
 ) -> Inputs:
     """Bind source tables to the declared schemas.
 
-    ``tables`` holds the declared tables and ``public_holidays`` by name, optionally with
+    ``tables`` holds the declared tables, ``public_holidays`` and ``holiday_coverage`` by name, optionally with
     ``rates``; without it the house rules alone apply. All feeds must be there: a feed
-    left out would make its transactions look unmatched. So must the holidays, up to
-    the year of the run: a day missing there would pass as a settlement day.
+    left out would make its transactions look unmatched. So must the holidays, and the intervals
+    for which they are known: a run that needs another day fails, since a day
+    missing there would pass as a settlement day.
     ``rename`` maps table or feed -> {declared column: source column}. ``stored_by`` maps
     a table or feed to the date column it is partitioned by, which holds the date
     of its timestamp; partitions before the table's window are then not listed.
@@ -57,8 +59,9 @@ def conform_inputs(
     wanted = {feed.name for feed in FEEDS}
     if set(feeds) != wanted:
         raise ValueError(f"missing feeds {wanted - set(feeds)}, unknown feeds {set(feeds) - wanted}")
-    if "public_holidays" not in tables:
-        raise ValueError("missing table public_holidays")
+    for needed in ("public_holidays", "holiday_coverage"):
+        if needed not in tables:
+            raise ValueError(f"missing table {needed}")
     rename, stored_by = rename or {}, stored_by or {}
 
     def recent(name: str, df: DataFrame) -> DataFrame:
@@ -70,13 +73,14 @@ def conform_inputs(
         n: schemas.conform(recent(n, tables[n]), schema, rename.get(n), params.zone) for n, schema in DECLARED.items()
     }
     public = schemas.conform(tables["public_holidays"], schemas.HOLIDAYS, rename.get("public_holidays"), params.zone)
-    check_span(public, params)
+    known = schemas.conform(tables["holiday_coverage"], schemas.HOLIDAY_COVERAGE, rename.get("holiday_coverage"), params.zone)
     rates = tables.get("rates")
     return Inputs(
         feeds={
             f.name: schemas.conform(recent(f.name, feeds[f.name]), f.schema, rename.get(f.name), params.zone) for f in FEEDS
         },
         holidays=holiday_table(spark, public),
+        holidays_known=known,
         rates=rate_card(spark) if rates is None else schemas.conform(rates, schemas.RATES, rename.get("rates")),
         **bound,
     )

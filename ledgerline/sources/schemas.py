@@ -48,6 +48,8 @@ BANK_ACCOUNTS = _schema(
 )
 OPS_BALANCES = _schema(account_id=LONG, balance=MONEY, created_date=TIME, processed_dttm=TIME)
 HOLIDAYS = _schema(holiday_date=DATE)
+#: For which days the holidays are known, both ends included.
+HOLIDAY_COVERAGE = _schema(known_from=DATE, known_to=DATE)
 #: ``place`` orders the rules; the first of those with one kind and key holds.
 RATES = _schema(place=LONG, kind=TEXT, key=TEXT, rate=RATE)
 

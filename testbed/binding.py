@@ -25,6 +25,7 @@ from ledgerline.sources.literal import literal_table
 
 AS_OF = date(2024, 1, 30)
 HOLIDAYS = (date(2023, 12, 25), date(2024, 1, 1), date(2024, 1, 18))
+KNOWN = (date(2023, 1, 1), date(2024, 12, 31))
 
 PARAMS = Params(
     as_of=AS_OF,
@@ -62,6 +63,7 @@ FEED_EVENTS = {
 
 SCHEMAS = {
     "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "orders": "o_orderkey bigint, o_orderdate timestamp_ntz",
     "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
     "nation": "n_nationkey int, n_name string, n_regionkey int",
 }
@@ -213,6 +215,7 @@ def inputs(spark: SparkSession, sf_dir: str) -> Inputs:
         "bank_accounts": bank_accounts(spark, sf_dir),
         "ops_balances": ops_balances(spark, sf_dir),
         "public_holidays": public_holidays(spark),
+        "holiday_coverage": literal_table(spark, schemas.HOLIDAY_COVERAGE, [KNOWN]),
         "rates": repeated_rules(spark),
     }
     return conform_inputs(spark, tables, feed_sources(spark, sf_dir), PARAMS, RENAMED)
@@ -223,7 +226,9 @@ def public_holidays(spark: SparkSession) -> DataFrame:
 
 
 def repeated_rules(spark: SparkSession) -> DataFrame:
-    """The rate card, and after it a second rule for every key, which must change nothing."""
+    """The rate card, and after it a second rule for every key, with zeros before account numbers, and one for no account, which must change nothing."""
     rules = rate_card(spark, ACCOUNT_RATES, REFERRAL_RATES)
-    again = rules.withColumns({"place": F.col("place") + 100, "rate": F.lit("0.05").cast(schemas.RATE)})
-    return rules.unionByName(again)
+    zeros = F.when(F.col("kind") == "account", F.concat(F.lit("00"), "key")).otherwise(F.col("key"))
+    again = rules.withColumns({"place": F.col("place") + 100, "key": zeros, "rate": F.lit("0.05").cast(schemas.RATE)})
+    nobody = literal_table(spark, schemas.RATES, [(999, "account", "x1", Decimal("0.05"))])
+    return rules.unionByName(again).unionByName(nobody)

@@ -3,16 +3,16 @@
 import uuid
 from collections.abc import Callable
 from dataclasses import replace
-from datetime import timedelta
+from datetime import date, timedelta
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerline.functions.columns import or_zero
 from ledgerline.operators import amounts, batches, daily, ledger, pick, recon, report
 from ledgerline.plans import extracts, settlement
-from ledgerline.plans.calendar import holiday_table, settlement_calendar
+from ledgerline.plans.calendar import LOOK_BACK_DAYS, holiday_table, settlement_calendar, unknown_days
 from ledgerline.plans.rates import merchant_dimension, referral_in_scope
 from ledgerline.sources import sink
 from ledgerline.sources.cuts import cut, shared_folder
@@ -214,6 +214,29 @@ def calendar_last_working_day(spark, sf_dir):
     return settlement_calendar(holiday_table(spark, b.public_holidays(spark)), first, last)
 
 
+def holiday_coverage_gaps(spark, sf_dir):
+    """Days that the run's calendar touches but no event type's span of events holds."""
+    days = F.to_date("ts")
+    spans = b.table(spark, sf_dir, "events").groupBy("event_type").agg(F.min(days).alias("known_from"), F.max(days).alias("known_to"))
+    bounds = spans.agg(F.date_sub(F.min("known_from"), LOOK_BACK_DAYS).alias("day")).scalar()
+    return unknown_days(spans, bounds, PARAMS.as_of + timedelta(days=PARAMS.spine_tail_days + 1))
+
+
+def orders_by_settlement_day_of_2026(spark, sf_dir):
+    """Orders moved to the same day of 2026, by the house's own holidays."""
+    day = F.date_add(F.lit(date(2026, 1, 1)), F.dayofyear("o_orderdate") - 1)
+    orders = b.table(spark, sf_dir, "orders").groupBy(day.alias("day")).agg(F.count("*").alias("n_orders"))
+    calendar = settlement_calendar(holiday_table(spark), date(2026, 1, 1), date(2027, 1, 1))
+    return orders.join(F.broadcast(calendar), "day").select("day", "n_orders", "is_settlement_day", "last_working_day")
+
+
+def drop_helper_columns(spark, sf_dir):
+    """Helper columns go by name, in any case; a name that isn't there is ignored."""
+    helpers = ("MERCHANT_ID", "merch_name", "issuer_txn_ref", "txn_extref", "txn_date", "amt", "terminal_id", "no_such_column")
+    rows = _signed(spark, sf_dir).drop(*helpers)
+    return rows.withColumn("amount_base", F.col("amount_base").cast("double"))
+
+
 def daily_matched_unmatched(spark, sf_dir):
     return settlement.daily(b.inputs(spark, sf_dir), PARAMS).select(
         "account_id", "balance_date", "merch_name", "unmatched_traffic",
@@ -294,7 +317,7 @@ def settlement_report(spark, sf_dir):
 def report_from_extracts(spark, sf_dir):
     inputs = b.inputs(spark, sf_dir)
     given = extracts.extracts(inputs, PARAMS, all_codes=False)
-    return extracts.report_from_extracts(given, inputs.holidays, PARAMS)
+    return extracts.report_from_extracts(given, inputs, PARAMS)
 
 
 def extract_row_counts(spark, sf_dir):
@@ -320,14 +343,31 @@ def report_replace_window(spark, sf_dir):
     return sink.read_report(spark, path)
 
 
+def report_empty_keeps_table(spark, sf_dir):
+    """An empty report comes after today's; the table keeps today's."""
+    rows = settlement_report(spark, sf_dir)
+    path = f"{shared_folder(spark)}/settlement_report_{uuid.uuid4().hex}"
+    for report_rows in (rows, rows.where("false")):
+        sink.replace_window(report_rows, path, PARAMS.report_from, PARAMS.as_of)
+    return sink.read_report(spark, path)
+
+
+def report_reading_order(spark, sf_dir):
+    """The sorted report, each row with its place within its settle date."""
+    place = F.row_number().over(Window.partitionBy("balance_date").orderBy("account_id"))
+    rows = report.for_reading(settlement_report(spark, sf_dir))
+    return rows.select("balance_date", "account_id", place.cast("bigint").alias("place"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         ledger_window, signed_amount_daily, merchant_rates, referral_filter_null_safe, dedup_transactions, dedup_text_ids,
         feed_keys, card_approval_keys, recon_issuer_ref_match, recon_extref_match, recon_approval_match, recon_key_first_match, base_projection, match_split,
         voucher_rows, voucher_next_day, first_transaction_of_day, midnight_weekday_amount, day_measures, holiday_carry,
-        calendar_last_working_day, daily_matched_unmatched, account_day_spine, rate_fill, ops_balance_first,
+        calendar_last_working_day, holiday_coverage_gaps, orders_by_settlement_day_of_2026, drop_helper_columns, daily_matched_unmatched, account_day_spine, rate_fill, ops_balance_first,
         account_day_balances, settlement_batches, carry_over, settlement_amounts, settlement_status,
         unmatched_totals, bank_pick, settlement_report, report_from_extracts, extract_row_counts, status_summary, report_sink_rows, report_replace_window,
+        report_empty_keeps_table, report_reading_order,
     )
 }

@@ -1,5 +1,6 @@
 """Operators one by one, with the rules that are easy to get wrong."""
 
+from dataclasses import replace
 from datetime import date, datetime, timedelta
 from decimal import Decimal
 
@@ -22,7 +23,7 @@ from ledgerline.plans.rates import (
     referral_in_scope,
     with_rates,
 )
-from ledgerline.sources import schemas
+from ledgerline.sources import cuts, schemas
 from ledgerline.sources.inputs import DECLARED, conform_inputs
 from tests.books import PARAMS, Books, day, noon
 
@@ -145,8 +146,43 @@ def test_holidays_must_be_given_and_reach_the_run(spark):
     with pytest.raises(ValueError, match="public_holidays"):
         conform_inputs(spark, tables, feeds, PARAMS)
     tables["public_holidays"] = spark.createDataFrame([(date(2025, 12, 25),)], schemas.HOLIDAYS)
-    with pytest.raises(ValueError, match="2026"):
+    with pytest.raises(ValueError, match="holiday_coverage"):
         conform_inputs(spark, tables, feeds, PARAMS)
+    known = [(date(2025, 1, 1), date(2025, 12, 31)), (date(2025, 12, 1), date(2026, 1, 10)), (date(2026, 1, 11), None)]
+    for more, missing in (([], "2026-01-11"), ([(date(2026, 1, 12), date(2026, 3, 31))], "2026-01-11"), ([(date(2026, 1, 11), date(2026, 3, 31))], None)):
+        tables["holiday_coverage"] = spark.createDataFrame(known + more, schemas.HOLIDAY_COVERAGE)
+        bound = conform_inputs(spark, tables, feeds, PARAMS)
+        report = settlement.settlement_report(bound, PARAMS)
+        if missing:
+            with pytest.raises(Exception, match=f"holidays are not known for {missing}"):
+                report.collect()
+        else:
+            report.collect()
+    june = replace(PARAMS, as_of=date(2026, 6, 10))
+    late = replace(bound, ledger=Books(spine_anchor=False).row(datetime(2026, 6, 8, 12), 100).inputs(spark).ledger)
+    with pytest.raises(Exception, match="holidays are not known for 2026-0[4-6]"):
+        settlement.settlement_report(late, june).collect()
+
+
+def test_the_first_rule_holds_under_every_spelling_of_an_account(spark):
+    merchants = spark.createDataFrame([(7, None, "t", 1), (8, "R", "t", 1), (9, None, "t", 1)], schemas.MERCHANTS)
+    rules = [(1, "account", "007", Decimal("0.01")), (2, "account", "7", Decimal("0.02")), (3, "account", "x1", Decimal("0.03")),
+             (4, "referral", "R", Decimal("0.04")), (5, "account", "9" * 40, Decimal("0.05")), (6, "account", None, Decimal("0.06"))]
+    got = with_rates(merchants, spark.createDataFrame(rules, schemas.RATES), PARAMS)
+    assert sorted(values(got, "account_id", "mdr_rate")) == [(7, Decimal("0.01")), (8, Decimal("0.04")), (9, PARAMS.default_rate)]
+
+
+def test_building_the_report_starts_no_job_but_the_cut(spark):
+    """Bounds, calendar and holiday coverage are part of the plan."""
+    inputs = Books().row(6, 100000).balance(7, 100000).inputs(spark)
+    context = spark.sparkContext
+    context.setJobGroup("cut", "the cut alone")
+    cuts.cut(settlement.daily(inputs, PARAMS))
+    context.setJobGroup("whole", "the whole report")
+    settlement.settlement_report(inputs, PARAMS)
+    jobs = [len(context.statusTracker().getJobIdsForGroup(g)) for g in ("cut", "whole")]
+    context.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs[0] == jobs[1] > 0
 
 
 def test_a_closed_run_longer_than_the_look_back_fails(spark):
@@ -439,8 +475,13 @@ def test_name_is_the_earliest_known_and_the_spine_takes_the_last_active_day(spar
     got = sorted(values(spine, "balance_date", "merch_name", "amount_base"))
     assert [d for d, _, _ in got] == [day(n) for n in range(5, 15)]
     assert {name for _, name, _ in got} == {"Newer"}
-    assert daily.date_bounds(totals) == (day(6), day(7))
-    assert daily.spine_bounds(totals, PARAMS) == (day(6), day(14))
+
+    def bounds(totals, *until):
+        return tuple(spark.range(1).select(*daily.spine_bounds(totals, PARAMS, *until)).first())
+
+    assert bounds(totals) == (day(6), day(14))
+    assert bounds(totals, day(9)) == (day(6), day(9)) and bounds(totals, day(2)) == (day(6), day(6))
+    assert bounds(totals.limit(0)) == (day(14), day(21))
 
 
 def test_a_nameless_last_day_falls_back_to_the_name_of_each_day(spark):

@@ -69,6 +69,7 @@ def test_tables_stored_by_date_are_pruned(spark, tmp_path):
     tables, feeds = {n: getattr(inputs, n) for n in DECLARED}, {}
     tables["transactions"] = spark.createDataFrame([("1", noon(6))], schemas.TRANSACTIONS)
     tables["public_holidays"] = spark.createDataFrame([(date(2025, 12, 25),), (date(2026, 1, 1),)], schemas.HOLIDAYS)
+    tables["holiday_coverage"] = spark.createDataFrame([(date(2025, 1, 1), date(2026, 12, 31))], schemas.HOLIDAY_COVERAGE)
     for name, column in clock.items():
         path = str(tmp_path / name)
         tables[name].withColumn("dt", F.to_date(column)).write.partitionBy("dt").parquet(path)

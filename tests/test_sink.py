@@ -94,6 +94,7 @@ def test_command_line_run_from_stored_tables(spark, tmp_path, capsys):
     config = {"tables": {}, "feeds": {}, "rename": {"ledger": {"txn_extref": "ext_reference"}}}
     given = {n: getattr(inputs, n) for n in [*DECLARED, "rates"]}
     given["public_holidays"] = spark.createDataFrame([(date(2025, 12, 25),), (date(2026, 1, 1),)], "holiday_date date")
+    given["holiday_coverage"] = spark.createDataFrame([(date(2025, 1, 1), date(2026, 12, 31))], "known_from date, known_to date")
     for name, df in given.items():
         df = df.withColumnRenamed("txn_extref", "ext_reference") if name == "ledger" else df
         config["tables"][name] = str(tmp_path / name)

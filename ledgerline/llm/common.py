@@ -27,6 +27,14 @@ def texts(docs: DataFrame) -> DataFrame:
     )
 
 
+def unused(docs: DataFrame, name: str) -> str:
+    """``name`` with as many ``_`` before it as it takes to differ from the names of all columns of ``docs``."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def remainder(folds: int) -> Column:
     """crc32 of the decimal id modulo ``folds``; null for a null id."""
     return F.crc32(F.col("doc_id").cast("string")) % folds

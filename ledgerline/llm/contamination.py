@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import bitmap, broadcast_if_small, hashed, in_bitmap, map_texts, mixed, row_key, texts
+from ledgerline.llm.common import bitmap, broadcast_if_small, hashed, in_bitmap, map_texts, mixed, row_key, texts, unused
 from ledgerline.sources.cuts import cut, kept_table
 
 SEED = 5
@@ -221,5 +221,6 @@ def report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def without_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs``, all columns, that hold no benchmark item."""
-    found = cut(contaminated(docs, benchmark).select(F.col("key").alias("_key")).distinct())
-    return docs.join(broadcast_if_small(found), row_key() == F.col("_key"), "left_anti")
+    key = unused(docs, "key")
+    found = cut(contaminated(docs, benchmark).select(F.col("key").alias(key)).distinct())
+    return docs.join(broadcast_if_small(found), row_key() == F.col(key), "left_anti")

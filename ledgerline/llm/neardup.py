@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import ascii_words, broadcast_if_small, hashed, map_texts, mixed, texts
+from ledgerline.llm.common import ascii_words, broadcast_if_small, hashed, map_texts, mixed, texts, unused
 from ledgerline.llm.components import components
 from ledgerline.sources.cuts import cut, kept_table
 
@@ -256,13 +256,14 @@ def without_near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -
     """
     marked = near_duplicates(docs, size, percent).where("doc_id is not null")
     ids = marked.groupBy("doc_id").agg(F.min("kept").alias("kept"), F.count("*").alias("n"))
-    odd = cut(ids.where("not kept or n > 1").withColumnRenamed("doc_id", "_id"))
-    by_id = F.col("doc_id").cast("long") == F.col("_id")
-    rest = docs.join(broadcast_if_small(odd.select("_id")), by_id, "left_anti")
-    repeated = odd.where("kept").select("_id")
+    own, place = unused(docs, "own_id"), unused(docs, "place")
+    odd = cut(ids.where("not kept or n > 1").select(F.col("doc_id").alias(own), "kept"))
+    by_id = F.col("doc_id").cast("long") == F.col(own)
+    rest = docs.join(broadcast_if_small(odd.select(own)), by_id, "left_anti")
+    repeated = odd.where("kept").select(own)
     if repeated.isEmpty():
         return rest
     again = docs.join(broadcast_if_small(repeated), by_id, "left_semi")
     first = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.col("text").asc_nulls_last()))
-    once = again.withColumn("_place", first).where("_place = 1").select(*docs.columns)
+    once = again.withColumn(place, first).where(F.col(place) == 1).select(*docs.columns)
     return rest.unionByName(once)

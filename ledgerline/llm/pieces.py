@@ -25,7 +25,7 @@ from ledgerline.llm.common import map_texts, texts
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
-MEMO_CHUNKS = 700_000
+MEMO_CHUNKS = 250_000
 UNKNOWN_PENALTY = 10.0
 NEVER = float("-inf")
 BYTE = re.compile(r"<0x([0-9A-F]{2})>$")

@@ -9,7 +9,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import held_out, labelled_sample, map_texts, texts
+from ledgerline.llm.common import held_out, labelled_sample, map_texts, texts, unused
 
 FOLDS, HELD_FOLD = 4, 2
 THRESHOLD = 0.7
@@ -191,10 +191,10 @@ def quality_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def good_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs``, all columns, with a score of ``THRESHOLD`` or more."""
-    model = fit(docs, labels)
+    model, name = fit(docs, labels), unused(docs, "score")
 
     def judge(batch: list[str | None]) -> dict:
         score = model.score(matrix_of([t or "" for t in batch]))
-        return {"_score": score, None: score >= THRESHOLD}
+        return {name: score, None: score >= THRESHOLD}
 
-    return map_texts(docs, judge, "_score double", text=True).drop("_score")
+    return map_texts(docs, judge, f"`{name}` double", text=True).drop(name)

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import broadcast_if_small, map_texts, row_key, texts
+from ledgerline.llm.common import broadcast_if_small, map_texts, row_key, texts, unused
 from ledgerline.sources.cuts import cut, kept_table
 
 REACH = 400
@@ -35,7 +35,7 @@ ROLE = {"assign": "key", "access": "account", "hex": "key", "account": "account"
 NEEDS = {"account": ("key",), "key": ("account",), "endpoint": ("account", "key")}
 
 ACCOUNT = re.compile(
-    r"(?ai:user(?:_?name)?|login|account(?:_?id)?|client_?id|access_?key_?id)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9][\w.@-]{2,63})", re.A
+    r"(?ai:user(?:_?name)?|login|account(?:_?id)?|client_?id|access_?key_?id)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9][\w.@-]{2,})", re.A
 )
 #: A whole run of any length; it may be the value of ``NAME=VALUE``.
 KEY = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{32,}+={0,2}+(?![A-Za-z0-9+/_=-])")
@@ -177,9 +177,12 @@ def masked(docs: DataFrame) -> DataFrame:
     ``n_chars``, if there, follows the text. Rows without spans stay as they are, null texts too.
     """
     spans = _with_spans(docs).where(F.size("every") > 0).dropDuplicates(["key"])
-    found = cut(spans.select(F.col("key").alias("_key"), F.col("every").alias("_spans")))
-    rest = docs.join(broadcast_if_small(found.select("_key")), row_key() == F.col("_key"), "left_anti")
-    hit = docs.join(broadcast_if_small(found), row_key() == F.col("_key"))
+    key, every = unused(docs, "key"), unused(docs, "every")
+    found = cut(spans.select(F.col("key").alias(key), F.col("every").alias(every)))
+    keys = broadcast_if_small(found.select(key))
+    rest = docs.join(keys, row_key() == F.col(key), "left_anti")
+    # Only rows with spans meet them; how long lists of spans are is not known, so those are not broadcast.
+    hit = docs.join(keys, row_key() == F.col(key), "left_semi").join(found, row_key() == F.col(key))
     # Text is rebuilt from the pieces between spans; what a span shares with the one before it is skipped.
     start = {"at": F.lit(0).cast("long"), "out": F.lit("")}
     state = F.struct(*(v.alias(n) for n, v in start.items()))
@@ -190,7 +193,7 @@ def masked(docs: DataFrame) -> DataFrame:
         return F.struct(F.greatest(s["at"], span["end"]).alias("at"), F.concat(s["out"], kept, mark).alias("out"))
 
     whole = F.aggregate(
-        "_spans", state, step, lambda s: F.concat(s["out"], F.substring(F.col("text"), (s["at"] + 1).cast("int"), F.length("text")))
+        every, state, step, lambda s: F.concat(s["out"], F.substring(F.col("text"), (s["at"] + 1).cast("int"), F.length("text")))
     )
     changed = hit.withColumn("text", whole)
     if "n_chars" in docs.columns:

@@ -27,3 +27,10 @@ def test_a_key_alone_or_a_long_name_is_none(spark):
     rows = [(1, f"KEY={RANDOM}"), (2, f"id {ACCESS} and A1b2C3d4E5f6G7h8I9j0K1l2M3n4O5p6=x")]
     got = secrets.find_secrets(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert {r.doc_id: [s.split(":")[0] for s in r.spans.split(",") if s] for r in got} == {1: [], 2: ["access"]}
+
+
+def test_a_long_account_value_is_masked_whole(spark):
+    value = "ab.c" * 20
+    docs = spark.createDataFrame([(1, f"username: {value} on https://host.example.org password = abcdef123456")], "doc_id long, text string")
+    (row,) = secrets.masked(docs).collect()
+    assert "ab.c" not in row.text and row.text.startswith("username: [secret] on ")

@@ -8,6 +8,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+ROW_GROUP_BYTES = 32 * 1024 * 1024
 ONE_PROCESS = re.compile(r"local(\[[^,\]]*(,\s*\d+)?\])?$")
 
 
@@ -38,5 +39,6 @@ def kept_table(df: DataFrame) -> DataFrame:
     """Write ``df`` as Parquet into the shared folder and read it again: for large cuts, since it is compressed."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/table-{uuid.uuid4()}"
-    df.write.parquet(path)
+    # A writer holds a row group in memory; smaller ones leave more of an executor to the work.
+    df.write.option("parquet.block.size", ROW_GROUP_BYTES).parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -108,12 +108,12 @@ def first_transactions(ledger: DataFrame, merchants: DataFrame, params: Params)
     )
 
 
-def day_measures(ledger: DataFrame, params: Params) -> DataFrame:
+def day_measures(ledger: DataFrame, params: Params, row_counts: bool = False) -> DataFrame:
     """All ledger-side measures of the settlement walk from one scan, per (account, balance_date).
 
     ``amount_voucher`` is booked a day late, ``first_trx`` a day early and
     ``trx_00_amt`` on its own day. The scan keeps only voucher and midnight rows
-    and sums them before anything is shuffled.
+    and sums them before anything is shuffled. ``row_counts`` adds ``voucher_rows``, how many rows the sum has.
     """
     recent = since("txn_date", params.days_back(params.ledger_days))
     weekday_recent = since("txn_date", params.days_back(params.weekday_opening_days))
@@ -138,21 +138,23 @@ def day_measures(ledger: DataFrame, params: Params) -> DataFrame:
             F.sum(F.when(F.col("is_voucher"), F.col("amount"))).cast(MONEY).alias("voucher"),
             F.sum(F.when(F.col("is_weekday"), F.col("amount"))).cast(MONEY).alias("weekday"),
             F.sum(F.when(F.col("instant").isNotNull(), F.col("amount"))).cast(MONEY).alias("opening"),
+            F.count(F.when(F.col("is_voucher"), 1)).alias("rows"),
         )
     )
     none, no_time = F.lit(None).cast(MONEY), F.lit(None).cast("timestamp_ntz")
 
-    def booked(shift: int, instant=no_time, first=none, voucher=none, weekday=none) -> Column:
+    def booked(shift: int, instant=no_time, first=none, voucher=none, weekday=none, rows=F.lit(0).cast("long")) -> Column:
         return F.struct(
             F.date_add("day", shift).alias("balance_date"),
             instant.alias("instant"),
             first.alias("first"),
             voucher.alias("voucher"),
             weekday.alias("weekday"),
+            rows.alias("rows"),
         )
 
     bookings = F.array(
-        booked(1, voucher=F.col("voucher")),
+        booked(1, voucher=F.col("voucher"), rows=F.col("rows")),
         booked(0, weekday=F.col("weekday")),
         booked(-1, instant=F.col("instant"), first=F.col("opening")),
     )
@@ -164,5 +166,6 @@ def day_measures(ledger: DataFrame, params: Params) -> DataFrame:
             F.sum("voucher").cast(MONEY).alias("amount_voucher"),
             F.sum("weekday").cast(MONEY).alias("trx_00_amt"),
             F.min_by("first", "instant").alias("first_trx"),
+            *([F.sum("rows").alias("voucher_rows")] if row_counts else []),
         )
     )

@@ -41,3 +41,13 @@ def prune_accounts(rows: DataFrame, merchants: DataFrame, params: Params) -> Dat
     key = held_key(F.col("account_id").cast("string"))
     scope = merchants.where(in_scope(params) & referral_in_scope(params)).select(key.alias("_key"))
     return rows.withColumn("_key", key).join(scope, "_key", "left_semi").drop("_key")
+
+
+def flag_accounts(rows: DataFrame, merchants: DataFrame, params: Params) -> DataFrame:
+    """Like :func:`prune_accounts`, but rows that only their referral excludes stay, and ``settles`` says which do not.
+
+    ``merchants`` has one row per account.
+    """
+    key = held_key(F.col("account_id").cast("string"))
+    scope = merchants.where(in_scope(params)).select(key.alias("_key"), referral_in_scope(params).alias("settles"))
+    return rows.withColumn("_key", key).join(scope, "_key").drop("_key")

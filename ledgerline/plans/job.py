@@ -11,15 +11,17 @@ from pathlib import Path
 
 from pyspark.sql import SparkSession
 
+from ledgerline.plans.counts import InputCounts
+from ledgerline.plans.extracts import extract_counts
 from ledgerline.plans.params import Params
 from ledgerline.plans.settlement import settlement_report
 from ledgerline.sources.inputs import Inputs, read_inputs
 from ledgerline.sources.sink import Written, replace_window
 
 
-def run(inputs: Inputs, params: Params, path: str) -> Written:
-    """Returns the row count, settle dates and rows per status of what was written."""
-    report = settlement_report(inputs, params)
+def run(inputs: Inputs, params: Params, path: str, counts: InputCounts | None = None) -> Written:
+    """Returns the row count, settle dates and rows per status of what was written; ``counts`` learns the rows of the extracts."""
+    report = settlement_report(inputs, params, counts)
     return replace_window(report, path, params.report_from, params.as_of)
 
 
@@ -35,7 +37,11 @@ def main(argv: Sequence[str] | None = None) -> Written:
     # Checkpoints go when nothing refers to them any more, so that daily runs leave none behind.
     spark = builder.config("spark.cleaner.referenceTracking.cleanCheckpoints", "true").getOrCreate()
     params = Params(as_of=args.as_of or date.today())
-    written = run(read_inputs(spark, params=params, **config), params, args.out)
+    counts = InputCounts()
+    inputs = read_inputs(spark, params=params, **config)
+    written = run(inputs, params, args.out, counts)
+    told = counts.read(lambda: extract_counts(inputs, params))
+    print(" | ".join(f"{extract}: {n}" for extract, n in told.items()))
     print(f"{written.rows} rows on {len(written.dates)} settle dates")
     print(" | ".join(f"{status}: {n}" for status, n in written.by_status.items()))
     return written

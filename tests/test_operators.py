@@ -13,7 +13,9 @@ from ledgerline.operators.batches import close_batches
 from ledgerline.operators.ledger import ledger_since, prune_accounts, signed_ledger
 from ledgerline.plans import fixed_values as house
 from ledgerline.plans.calendar import holiday_table, settlement_calendar
-from ledgerline.plans import settlement
+from ledgerline.plans import extracts, settlement
+from ledgerline.plans.counts import InputCounts
+from ledgerline.plans.job import run
 from ledgerline.plans.params import Params
 from ledgerline.plans.rates import (
     in_scope,
@@ -25,6 +27,8 @@ from ledgerline.plans.rates import (
 )
 from ledgerline.sources import cuts, schemas
 from ledgerline.sources.inputs import DECLARED, conform_inputs
+from ledgerline.sources.sink import read_report
+from testbed import binding
 from tests.books import PARAMS, Books, day, noon
 
 
@@ -164,6 +168,22 @@ def test_holidays_must_be_given_and_reach_the_run(spark):
         settlement.settlement_report(late, june).collect()
 
 
+def test_extracts_are_counted_by_the_jobs_of_the_run(spark, tmp_path):
+    inputs, params = binding.inputs(spark, "/root/testdata/sf0.001"), binding.PARAMS
+    context, jobs = spark.sparkContext, []
+    for name, counts in (("plain", None), ("counted", InputCounts())):
+        context.setJobGroup(name, name)
+        run(inputs, params, str(tmp_path / name), counts)
+        jobs.append(len(context.statusTracker().getJobIdsForGroup(name)))
+    context.setLocalProperty("spark.jobGroup.id", None)
+    exact = {r.extract: r.n_rows for r in extracts.extract_counts(inputs, params).collect()}
+    assert counts.read(lambda: pytest.fail("all were observed")) == exact and min(exact.values()) > 0
+    stored = [sorted(map(tuple, read_report(spark, str(tmp_path / n)).collect())) for n in ("plain", "counted")]
+    assert stored[0] == stored[1]
+    # The semi-join may cost a job for a broadcast or a shuffle of its own, counting itself none.
+    assert jobs[1] <= jobs[0] + 3
+
+
 def test_the_first_rule_holds_under_every_spelling_of_an_account(spark):
     merchants = spark.createDataFrame([(7, None, "t", 1), (8, "R", "t", 1), (9, None, "t", 1)], schemas.MERCHANTS)
     rules = [(1, "account", "007", Decimal("0.01")), (2, "account", "7", Decimal("0.02")), (3, "account", "x1", Decimal("0.03")),

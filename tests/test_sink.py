@@ -109,7 +109,9 @@ def test_command_line_run_from_stored_tables(spark, tmp_path, capsys):
     args = ["--config", str(file), "--out", out, "--as-of", "2026-01-14"]
     written = main(args)
     assert (written.rows, written.by_status["CONFIRM"]) == (2, 1)
-    assert "CONFIRM: 1 | NOT MATCH: 0 | MINIMUM NOT MET: 1" in capsys.readouterr().out
+    told = capsys.readouterr().out
+    assert "CONFIRM: 1 | NOT MATCH: 0 | MINIMUM NOT MET: 1" in told
+    assert "base: 2 | vouchers: 0 | bank_accounts: 0 | ops_balances: 1 | first_trx: 0 | trx_00: 0" in told
     del config["feeds"]["ovo"]
     file.write_text(json.dumps(config))
     with pytest.raises(ValueError, match="ovo"):

@@ -26,7 +26,7 @@ from ledgerline.sources.cuts import kept_table
 FOLDS, HELD_FOLD, WEIGHT_FOLD = 5, 1, 2
 #: Parts of the documents: counted for the weights, held out for them, and never learnt from.
 COUNTED, WEIGHING, UNSEEN = 0, 1, 2
-CHUNK_CHARS = 8_000_000
+CHUNK_CHARS = 5_000_000
 BUCKET_CHARS = 4_000_000
 WORDS_A_PASS = 200_000
 KEY_BITS = np.uint64(40)

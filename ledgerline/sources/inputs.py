@@ -2,6 +2,7 @@
 
 from collections.abc import Mapping
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -86,6 +87,27 @@ def conform_inputs(
     )
 
 
+def unreadable_values(
+    tables: Mapping[str, DataFrame],
+    feeds: Mapping[str, DataFrame],
+    rename: Mapping[str, Mapping[str, str]] | None = None,
+) -> DataFrame:
+    """Values of all inputs that a run reads as null: (table_name, column_name, value, n_rows).
+
+    Beside :func:`conform_inputs`, which has no place for them: a run goes on without such values, and
+    this says which they were and in how many rows. Each table is scanned for its own columns alone.
+    """
+    rename = rename or {}
+    declared = DECLARED | {"public_holidays": schemas.HOLIDAYS, "holiday_coverage": schemas.HOLIDAY_COVERAGE, "rates": schemas.RATES}
+    given = [(n, df, declared[n]) for n, df in tables.items() if n in declared]
+    given += [(f.name, feeds[f.name], f.schema) for f in FEEDS if f.name in feeds]
+    each = [
+        schemas.unreadable(df, schema, rename.get(name)).select(F.lit(name).alias("table_name"), "column_name", "value", "n_rows")
+        for name, df, schema in given
+    ]
+    return reduce(DataFrame.unionByName, each)
+
+
 def read_inputs(
     spark: SparkSession,
     tables: Mapping[str, str],

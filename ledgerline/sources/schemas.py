@@ -134,6 +134,16 @@ def _conformed(c: Column, source: T.DataType, target: T.DataType, zone: str = "U
     return c.cast(target)
 
 
+def _source_columns(df: DataFrame, schema: T.StructType, rename: Mapping[str, str] | None) -> dict[str, tuple[str, T.DataType]]:
+    """Declared column -> its name and type in ``df``, whatever its case; one that is missing is an error."""
+    held = {f.name.lower(): f for f in df.schema}
+    names = {f.name: (rename or {}).get(f.name, f.name) for f in schema}
+    missing = [n for n in names.values() if n.lower() not in held]
+    if missing:
+        raise ValueError(f"missing input columns: {missing}")
+    return {declared: (held[name.lower()].name, held[name.lower()].dataType) for declared, name in names.items()}
+
+
 def conform(
     df: DataFrame, schema: T.StructType, rename: Mapping[str, str] | None = None, zone: str = "UTC"
 ) -> DataFrame:
@@ -142,14 +152,26 @@ def conform(
     ``rename`` maps a declared name to the name the table uses. A declared
     column that is missing is an error.
     """
-    source_types = {f.name.lower(): f.dataType for f in df.schema}
-    names = {f.name: (rename or {}).get(f.name, f.name) for f in schema}
-    missing = [n for n in names.values() if n.lower() not in source_types]
-    if missing:
-        raise ValueError(f"missing input columns: {missing}")
-    return df.select(
-        *[
-            _conformed(F.col(names[f.name]), source_types[names[f.name].lower()], f.dataType, zone).alias(f.name)
-            for f in schema
-        ]
-    )
+    source = _source_columns(df, schema, rename)
+    return df.select(*[_conformed(F.col(source[f.name][0]), source[f.name][1], f.dataType, zone).alias(f.name) for f in schema])
+
+
+def unreadable(df: DataFrame, schema: T.StructType, rename: Mapping[str, str] | None = None) -> DataFrame:
+    """What :func:`conform` turns into null although there is something: (column_name, value, n_rows).
+
+    ``column_name`` is the table's own, ``value`` what it holds, as text; a float that is no number counts too.
+    One scan of the columns that can hold such values, summed up before the shuffle. Values
+    that fail a run (too many digits) are not looked for.
+    """
+    lost = []
+    for f in schema:
+        name, kind = _source_columns(df, T.StructType([f]), rename)[f.name]
+        if isinstance(kind, (T.StringType, T.DoubleType, T.FloatType)) and kind != f.dataType and f.dataType != TEXT:
+            numeric = T.DecimalType(38, 14) if isinstance(f.dataType, T.DecimalType) else T.DecimalType(38, 4)
+            read = F.col(name).try_cast(numeric if isinstance(f.dataType, (T.DecimalType, T.LongType)) else f.dataType)
+            bad = F.col(name).isNotNull() & read.isNull()
+            lost.append(F.when(bad, F.struct(F.lit(name).alias("column_name"), F.col(name).cast("string").alias("value"))))
+    if not lost:
+        return df.sparkSession.createDataFrame([], "column_name string, value string, n_rows bigint")
+    found = df.select(F.explode(F.array_compact(F.array(*lost))).alias("found")).select("found.*")
+    return found.groupBy("column_name", "value").agg(F.count("*").alias("n_rows"))

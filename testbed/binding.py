@@ -206,8 +206,8 @@ def ops_balances(spark: SparkSession, sf_dir: str) -> DataFrame:
     return schemas.conform(rows, schemas.OPS_BALANCES)
 
 
-def inputs(spark: SparkSession, sf_dir: str) -> Inputs:
-    tables = {
+def input_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    return {
         "ledger": ledger_source(spark, sf_dir),
         "merchants": merchants(spark, sf_dir),
         "transactions": transactions(spark, sf_dir),
@@ -218,7 +218,10 @@ def inputs(spark: SparkSession, sf_dir: str) -> Inputs:
         "holiday_coverage": literal_table(spark, schemas.HOLIDAY_COVERAGE, [KNOWN]),
         "rates": repeated_rules(spark),
     }
-    return conform_inputs(spark, tables, feed_sources(spark, sf_dir), PARAMS, RENAMED)
+
+
+def inputs(spark: SparkSession, sf_dir: str) -> Inputs:
+    return conform_inputs(spark, input_tables(spark, sf_dir), feed_sources(spark, sf_dir), PARAMS, RENAMED)
 
 
 def public_holidays(spark: SparkSession) -> DataFrame:

@@ -16,6 +16,7 @@ from ledgerline.plans.calendar import LOOK_BACK_DAYS, holiday_table, settlement_
 from ledgerline.plans.rates import merchant_dimension, referral_in_scope
 from ledgerline.sources import sink
 from ledgerline.sources.cuts import cut, shared_folder
+from ledgerline.sources.inputs import unreadable_values as unreadable_in
 from testbed import binding as b
 from testbed.binding import PARAMS
 
@@ -343,6 +344,24 @@ def report_replace_window(spark, sf_dir):
     return sink.read_report(spark, path)
 
 
+def unreadable_values(spark, sf_dir):
+    """All inputs, with amounts, accounts and times spoilt here and there."""
+    tables = b.input_tables(spark, sf_dir)
+    kind = F.col("issuer")
+    ledger_rows = tables["ledger"]
+    tables["ledger"] = ledger_rows.withColumns({
+        "AMT": F.when(kind == "signup", F.concat(F.lit("Rp "), "terminal_id")).otherwise(F.col("AMT")),
+        "account_id": F.when(kind == "click", F.concat(F.lit("no. "), "account_id")).otherwise(F.col("account_id").cast("string")),
+        "txn_date": F.when(kind == "view", "").otherwise(F.col("txn_date").cast("string")),
+    })
+    balance = F.col("c_acctbal")
+    tables["ops_balances"] = b.table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("account_id"), F.when(balance < 0, F.lit("NaN").cast("double")).otherwise(balance).alias("balance"),
+        F.lit("2024-01-30").alias("created_date"), F.when(balance < 5000, "2024-02-30").otherwise("2024-01-30 08:00:00").alias("processed_dttm"),
+    )
+    return unreadable_in(tables, b.feed_sources(spark, sf_dir), b.RENAMED)
+
+
 def report_empty_keeps_table(spark, sf_dir):
     """An empty report comes after today's; the table keeps today's."""
     rows = settlement_report(spark, sf_dir)
@@ -368,6 +387,6 @@ QUERIES: dict[str, Query] = {
         calendar_last_working_day, holiday_coverage_gaps, orders_by_settlement_day_of_2026, drop_helper_columns, daily_matched_unmatched, account_day_spine, rate_fill, ops_balance_first,
         account_day_balances, settlement_batches, carry_over, settlement_amounts, settlement_status,
         unmatched_totals, bank_pick, settlement_report, report_from_extracts, extract_row_counts, status_summary, report_sink_rows, report_replace_window,
-        report_empty_keeps_table, report_reading_order,
+        report_empty_keeps_table, report_reading_order, unreadable_values,
     )
 }

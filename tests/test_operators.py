@@ -184,6 +184,19 @@ def test_extracts_are_counted_by_the_jobs_of_the_run(spark, tmp_path):
     assert jobs[1] <= jobs[0] + 3
 
 
+def test_what_cannot_be_read_is_told_and_is_what_conform_loses(spark):
+    rows = [("x", 1.5, "2026-01-05", "7"), ("x", float("nan"), "soon", "7.5"), (None, None, None, None), (" 12 ", 0.0, "", "1e3"), ("1", float("inf"), "2026-01-05 10:00:00", "-")]
+    df = spark.createDataFrame(rows, "AMT string, rate double, at string, own string")
+    schema = schemas._schema(amt=schemas.AMOUNT, rate=schemas.MONEY, at=schemas.TIME, id=schemas.LONG, own=schemas.TEXT)
+    rename = {"id": "own"}
+    told = {(r.column_name, r.value): r.n_rows for r in schemas.unreadable(df, schema, rename).collect()}
+    assert told == {("AMT", "x"): 2} | dict.fromkeys([("rate", "NaN"), ("rate", "Infinity"), ("at", "soon"), ("at", ""), ("own", "-")], 1)
+    names = {"amt": "AMT", "rate": "rate", "at": "at", "id": "own"}
+    read = schemas.conform(df, schema, rename).collect()
+    lost = sum(r[c] is None and given[n] is not None for r, given in zip(read, df.collect(), strict=True) for c, n in names.items())
+    assert lost == sum(told.values())
+
+
 def test_the_first_rule_holds_under_every_spelling_of_an_account(spark):
     merchants = spark.createDataFrame([(7, None, "t", 1), (8, "R", "t", 1), (9, None, "t", 1)], schemas.MERCHANTS)
     rules = [(1, "account", "007", Decimal("0.01")), (2, "account", "7", Decimal("0.02")), (3, "account", "x1", Decimal("0.03")),

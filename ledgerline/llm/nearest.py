@@ -17,6 +17,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 from itertools import combinations
 
 import numpy as np
@@ -212,8 +213,8 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = NEIGHBOURS) -> Data
     """``query_id, rank, vec_id, score``: the ``k`` rows of ``vectors`` with the largest inner product for each query.
 
     Both have ``vec_id`` and ``embedding``. A query is no answer to itself; ties go to the smaller id.
-    Vectors that are null, zero, or hold null or non-finite components take no part;
-    nor do those of another width than the widest common one, which no query can meet.
+    Vectors that are null, zero, or hold null or non-finite components take no part.
+    A query's candidates are the rows of its own width; each width that queries have is searched by itself.
     Fewer than ``k`` rows are all returned. Every row is indexed; a query block meets
     every row block, and leaves at most ``k`` rows a query.
     """
@@ -221,18 +222,40 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = NEIGHBOURS) -> Data
     widths = rows.groupBy(F.size("v").alias("width")).agg(
         F.count("*").alias("n"), F.max(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x)).alias("square")
     )
-    sizes = {r.width: (r.n, r.square**0.5) for r in widths.orderBy(F.desc("n"), "width").limit(1).collect()}
-    schema = "query_id long, vec_id long, score double"
-    if not sizes:
+    asked = whole(queries)
+    # A row for each width, of which an embedding table has few.
+    sizes = widths.join(asked.groupBy(F.size("v").alias("width")).agg(F.count("*").alias("asked")), "width")
+    found = [
+        _of_width(rows, asked, Coded(r.width, r.n, r.square**0.5, r.asked), k) for r in sizes.orderBy("width").collect()
+    ]
+    if not found:
         return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    ((width, (n, length)),) = sizes.items()
-    coder = fit(rows, width, length)
-    asked = whole(queries).where(F.size("v") == width)
-    blocks = max(1, -(-n // BLOCK_ROWS))
-    query_blocks = max(1, -(-asked.count() // QUERY_BLOCK))
+    # At most k rows from each cell; Spark cuts each query to k before the shuffle too.
+    by_query = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    every = reduce(DataFrame.unionByName, found)
+    return every.select("query_id", F.row_number().over(by_query).alias("rank"), "vec_id", "score").where(F.col("rank") <= k)
+
+
+@dataclass(frozen=True)
+class Coded:
+    """One width: its rows, the length of the longest, and how many queries it has."""
+
+    width: int
+    n: int
+    length: float
+    asked: int
+
+
+def _of_width(every_row: DataFrame, every_query: DataFrame, of: Coded, k: int) -> DataFrame:
+    """``query_id, vec_id, score``: the ``k`` best of each block for each query of one width."""
+    width, schema = of.width, "query_id long, vec_id long, score double"
+    rows, asked = (df.where(F.size("v") == width) for df in (every_row, every_query))
+    coder = fit(rows, width, of.length)
+    blocks = max(1, -(-of.n // BLOCK_ROWS))
+    query_blocks = max(1, -(-of.asked // QUERY_BLOCK))
     i = F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int")
     j = F.pmod(F.xxhash64("vec_id"), F.lit(query_blocks)).cast("int")
-    row_cells = rows.where(F.size("v") == width).select(
+    row_cells = rows.select(
         i.alias("i"), F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))).alias("j"), "vec_id", "v"
     )
     query_cells = asked.select(F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("i"), j.alias("j"), "vec_id", "v")
@@ -251,10 +274,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = NEIGHBOURS) -> Data
             frame.astype({"query_id": "int64", "vec_id": "int64", "score": "float64"}), preserve_index=False
         )
 
-    found = query_cells.groupBy("i", "j").cogroup(row_cells.groupBy("i", "j")).applyInArrow(cell, schema)
-    # At most k rows from each cell; Spark cuts each query to k before the shuffle too.
-    by_query = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return found.select("query_id", F.row_number().over(by_query).alias("rank"), "vec_id", "score").where(F.col("rank") <= k)
+    return query_cells.groupBy("i", "j").cogroup(row_cells.groupBy("i", "j")).applyInArrow(cell, schema)
 
 
 def every_twentieth(vectors: DataFrame) -> DataFrame:

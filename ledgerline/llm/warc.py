@@ -27,11 +27,18 @@ BREAKS = re.compile(
 TAG = re.compile(r"</?[a-z][^<>]*>|<![^<>]*>|<\?[^<>]*>", re.I)
 BLANKS = re.compile(r"[^\S\n]+")
 LINES = re.compile(r" ?\n[ \n]*")
-TITLE = re.compile(r"<title\b[^<>]*>(.*?)</title\s*>", re.S | re.I)
+TITLE, TITLE_END = re.compile(r"<title\b[^<>]*>", re.I), re.compile(r"</title\s*>", re.I)
 LINK = re.compile(r"<a\b[^<>]*?\bhref\s*=\s*(?:\"([^\"<>]*)\"|'([^'<>]*)'|([^\s\"'<>]+))", re.I)
 LANGUAGE = re.compile(r"<html\b[^<>]*?\blang\s*=\s*[\"']?([A-Za-z-]+)", re.I)
 
 
+def title_of(page: str) -> str:
+    """What stands between the first opening tag and the closing tag after it; one that is never closed is no title."""
+    opened = TITLE.search(page)
+    closed = TITLE_END.search(page, opened.end()) if opened else None
+    return page[opened.end() : closed.start()] if closed else ""
+
+
 def plain_text(page: str) -> str:
     """Visible text of a page, one line for each block, blanks collapsed; an unclosed script hides the rest."""
     text = TAG.sub("", BREAKS.sub("\n", HIDDEN.sub(" ", page)))
@@ -87,12 +94,12 @@ def derivatives(source: DataFrame) -> DataFrame:
         for page in batch:
             body = plain_text(page)
             raw = body.encode("utf-8", "replace")
-            title, language = TITLE.search(page), LANGUAGE.search(page)
+            title, language = title_of(page), LANGUAGE.search(page)
             out["payload"].append(digest(page.encode("utf-8", "replace")))
             out["body"].append(body)
             out["body_digest"].append(digest(raw))
             out["body_bytes"].append(len(raw))
-            out["title"].append(one_line(html.unescape(TAG.sub("", title[1]))) if title else "")
+            out["title"].append(one_line(html.unescape(TAG.sub("", title))))
             out["language"].append(language[1].lower() if language else "")
             found = dict.fromkeys(one_line(html.unescape(a or b or c)) for a, b, c in LINK.findall(page))
             out["links"].append([u for u in found if u])

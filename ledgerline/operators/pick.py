@@ -17,14 +17,14 @@ def first_row(df: DataFrame, by: Sequence[str], order: Sequence[Column]) -> Data
     return df.withColumn("_rank", rank).where("_rank = 1").drop("_rank")
 
 
-def deduplicate_transactions(rows: DataFrame) -> DataFrame:
-    """One row per (account, transaction id): a matched row if there is one, else the earliest.
+def first_of_transaction(rows: DataFrame, *also_by: str) -> DataFrame:
+    """One row per (account, transaction id, ...): a matched row if there is one, else the earliest.
 
     The order covers every column read afterwards, so rows that tie are the same row.
     """
     return first_row(
         rows,
-        ["account_id", "credit_trans_trx_id"],
+        ["account_id", "credit_trans_trx_id", *also_by],
         [
             F.col("is_matched").desc(),
             F.col("txn_date").asc(),
@@ -34,6 +34,10 @@ def deduplicate_transactions(rows: DataFrame) -> DataFrame:
     )
 
 
+def deduplicate_transactions(rows: DataFrame) -> DataFrame:
+    return first_of_transaction(rows)
+
+
 def preferred_bank(bank_accounts: DataFrame) -> DataFrame:
     """The alphabetically first bank of each account, unnamed banks last."""
     columns = ["bank_name", "bank_account_number", "bank_account_name", "bank_code"]

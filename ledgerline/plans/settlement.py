@@ -35,19 +35,22 @@ class HolidaySource(Protocol):
     holidays_known: DataFrame | None
 
 
+#: Ledger columns that matching, de-duplication and daily sums read.
+READ_LATER = ("account_id", "merch_name", "txn_date", "trx_date", "credit_trans_trx_id", "issuer_txn_ref", "txn_extref", "amount_base")
+
+
 def match_keys(inputs: Inputs, params: Params) -> dict[str, DataFrame]:
     return keys_by_route(inputs.feeds, inputs.transactions, inputs.card_refs, params)
 
 
 def matched_rows(inputs: Inputs, params: Params, counts: InputCounts | None = None) -> DataFrame:
     """De-duplicated ledger rows with their match flag, reduced to the columns read later."""
-    columns = ("account_id", "merch_name", "txn_date", "trx_date", "credit_trans_trx_id", "issuer_txn_ref", "txn_extref", "amount_base")
     if counts is None:
-        rows = signed_ledger(prune_accounts(inputs.ledger, inputs.merchants, params), params).select(*columns)
+        rows = signed_ledger(prune_accounts(inputs.ledger, inputs.merchants, params), params).select(*READ_LATER)
     else:
         # The base extract has the rows of excluded referrals too, so those go after it was counted.
         scope = one_row_per_account(inputs.merchants)
-        rows = signed_ledger(flag_accounts(inputs.ledger, scope, params), params).select(*columns, "settles")
+        rows = signed_ledger(flag_accounts(inputs.ledger, scope, params), params).select(*READ_LATER, "settles")
         rows = counts.seen(rows, base=F.count("*")).where("settles").drop("settles")
     flagged = flag_matches(rows, match_keys(inputs, params))
     return deduplicate_transactions(flagged.drop("issuer_txn_ref", "txn_extref"))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions.columns import or_zero
 from ledgerline.operators import amounts, batches, daily, ledger, pick, recon, report
-from ledgerline.plans import extracts, settlement
+from ledgerline.plans import extracts, incremental, settlement
 from ledgerline.plans.calendar import LOOK_BACK_DAYS, holiday_table, settlement_calendar, unknown_days
 from ledgerline.plans.rates import merchant_dimension, referral_in_scope
 from ledgerline.sources import sink
@@ -344,6 +344,17 @@ def report_replace_window(spark, sf_dir):
     return sink.read_report(spark, path)
 
 
+def report_from_day_states(spark, sf_dir):
+    """Two daily runs from stored day states; at the first, the evenings of its last two days had not arrived yet."""
+    inputs = b.inputs(spark, sf_dir)
+    path = f"{shared_folder(spark)}/day_states_{uuid.uuid4().hex}"
+    before = replace(PARAMS, as_of=PARAMS.as_of - timedelta(days=1))
+    arrived = (F.col("txn_date") < F.lit(before.days_back(2))) | (F.hour("txn_date") < 18)
+    incremental.advance(replace(inputs, ledger=inputs.ledger.where(arrived)), before, path)
+    incremental.advance(inputs, PARAMS, path)
+    return incremental.report_from_state(inputs, PARAMS, path)
+
+
 def unreadable_values(spark, sf_dir):
     """All inputs, with amounts, accounts and times spoilt here and there."""
     tables = b.input_tables(spark, sf_dir)
@@ -387,6 +398,6 @@ QUERIES: dict[str, Query] = {
         calendar_last_working_day, holiday_coverage_gaps, orders_by_settlement_day_of_2026, drop_helper_columns, daily_matched_unmatched, account_day_spine, rate_fill, ops_balance_first,
         account_day_balances, settlement_batches, carry_over, settlement_amounts, settlement_status,
         unmatched_totals, bank_pick, settlement_report, report_from_extracts, extract_row_counts, status_summary, report_sink_rows, report_replace_window,
-        report_empty_keeps_table, report_reading_order, unreadable_values,
+        report_empty_keeps_table, report_reading_order, report_from_day_states, unreadable_values,
     )
 }

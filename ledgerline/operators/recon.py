@@ -138,20 +138,20 @@ def card_keys(
     """The approval route re-keyed by transaction id, so the ledger needs no card columns.
 
     Starts from the smallest input, the distinct keys of the feed. A transaction
-    may have several approval codes; any of them counts. A filter of the feed's keys drops
-    references as they are read, a filter of the references that are left drops transactions; the
-    joins decide. A filter too small for its keys lets more rows through to the joins.
+    may have several approval codes; any of them counts. With ``reference_filter_bits`` a filter of
+    the feed's keys drops references as they are read, and a filter of the references that are left drops
+    transactions; the joins decide either way. A filter too small for its keys lets more rows through to them.
     """
-    bits = params.reference_filter_bits
+    bits, refs = params.reference_filter_bits, _recent_refs(card_refs, params)
+    if bits:
+        refs = refs.where(may_hold(key_filter(approval_keys, "match_key", bits), F.col("approval_code"), bits))
+        transactions = transactions.where(may_hold(key_filter(refs, "trx_id", bits), F.col("trx_id"), bits))
     held = approval_keys.distinct().select(
         held_key(F.col("match_key")).alias("_key"), "feed_date", "priority", "reported_key"
     )
-    in_feed = may_hold(key_filter(approval_keys, "match_key", bits), F.col("approval_code"), bits)
-    refs = _recent_refs(card_refs, params).where(in_feed)
     found = held.join(refs.withColumn("_key", held_key(F.col("approval_code"))), "_key").withColumnRenamed("trx_id", "match_key")
     best = best_keys(found).select(F.col("match_key").alias("trx_id"), "feed_date", "hit.*")
-    referred = may_hold(key_filter(refs, "trx_id", bits), F.col("trx_id"), bits)
-    return _of_known(best, transactions.where(referred), params).withColumnRenamed("trx_id", "match_key")
+    return _of_known(best, transactions, params).withColumnRenamed("trx_id", "match_key")
 
 
 def ledger_side(route: str) -> Column:

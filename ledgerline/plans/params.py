@@ -20,9 +20,9 @@ class Params:
     reference_days: int = 65
     ops_days: int = 75
 
-    # Size of the filters that spare references and transactions a shuffle: 1 MB, good for half a million keys
-    # (16 bits each); with more keys it lets more rows through, never fewer.
-    reference_filter_bits: int = 2**23
+    # Bits of the filters that spare references and transactions a shuffle; 0 for none. 2**23 (1 MB) is good for
+    # half a million keys, 16 bits each; with more keys a filter lets more rows through, never fewer.
+    reference_filter_bits: int = 0
 
     report_days: int = 14
     spine_tail_days: int = 7

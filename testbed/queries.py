@@ -130,6 +130,13 @@ def card_approval_keys(spark, sf_dir):
     return keys.select(F.col("match_key").alias("trx_id"), "feed_date", "reported_key").distinct()
 
 
+def card_keys_by_filter(spark, sf_dir):
+    """The same keys, references and transactions filtered before their shuffles."""
+    params = replace(PARAMS, reference_filter_bits=2**23)
+    keys = settlement.match_keys(b.inputs(spark, sf_dir), params)[recon.APPROVAL]
+    return keys.select(F.col("match_key").alias("trx_id"), "feed_date", "reported_key").distinct()
+
+
 def recon_key_first_match(spark, sf_dir):
     return extracts.base_rows(b.inputs(spark, sf_dir), PARAMS).select(
         "account_id", "credit_trans_trx_id", "trx_date", "mcd_approval_code", "key_join_issuer"
@@ -393,7 +400,7 @@ QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         ledger_window, signed_amount_daily, merchant_rates, referral_filter_null_safe, dedup_transactions, dedup_text_ids,
-        feed_keys, card_approval_keys, recon_issuer_ref_match, recon_extref_match, recon_approval_match, recon_key_first_match, base_projection, match_split,
+        feed_keys, card_approval_keys, card_keys_by_filter, recon_issuer_ref_match, recon_extref_match, recon_approval_match, recon_key_first_match, base_projection, match_split,
         voucher_rows, voucher_next_day, first_transaction_of_day, midnight_weekday_amount, day_measures, holiday_carry,
         calendar_last_working_day, holiday_coverage_gaps, orders_by_settlement_day_of_2026, drop_helper_columns, daily_matched_unmatched, account_day_spine, rate_fill, ops_balance_first,
         account_day_balances, settlement_batches, carry_over, settlement_amounts, settlement_status,

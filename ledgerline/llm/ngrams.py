@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import ascii_words, hashed, held_out, mixed, remainder, texts
+from ledgerline.llm.common import ascii_words, hashed, held_out, mixed, remainder, slices, texts
 from ledgerline.sources.cuts import kept_table
 
 FOLDS, HELD_FOLD, WEIGHT_FOLD = 5, 1, 2
@@ -28,6 +28,8 @@ FOLDS, HELD_FOLD, WEIGHT_FOLD = 5, 1, 2
 COUNTED, WEIGHING, UNSEEN = 0, 1, 2
 CHUNK_CHARS = 5_000_000
 BUCKET_CHARS = 4_000_000
+#: Parquet's reader holds a row group of such long rows at once: as many chunks, or rows of their answers.
+CHUNKS_A_GROUP, ANSWERED_CHUNKS_A_GROUP = 4, 2
 WORDS_A_PASS = 200_000
 KEY_BITS = np.uint64(40)
 KEY_MASK = np.uint64(2**40 - 1)
@@ -50,39 +52,63 @@ class Chunk:
 
     @classmethod
     def of(cls, batch: list[str], buckets: int) -> Chunk:
-        parts, sizes, waiting = [], [], []
-        for text in batch:
-            own = ascii_words(text)
-            sizes.append(len(own))
-            waiting += own
-            if len(waiting) >= WORDS_A_PASS:
-                parts.append(hashed(waiting))
-                waiting = []
-        parts.append(hashed(waiting))
-        h = np.concatenate(parts)
-        h = np.where((h == START) | (h == END), h + np.uint64(1), h)
-        ends = np.cumsum(sizes, dtype=np.int64)
-        token = np.insert(h, ends, END)
-        first = np.concatenate(([0], ends[:-1])) + np.arange(len(sizes))
-        context = np.concatenate(([START], token[:-1]))
-        context[first] = START
+        token, first = _tokens(batch)
+        pairs, pair_at = np.unique(_pair_keys(token, first, buckets), return_inverse=True)
+        pair_at = pair_at.astype(np.int32)
         words, index = np.unique(np.append(token, START), return_inverse=True)
-        token_at = index[:-1].astype(np.int32)
-        context_at = np.concatenate((index[-1:], index[:-2])).astype(np.int32)
+        index = index.astype(np.int32)
+        context_at = np.concatenate((index[-1:], index[:-2]))
         context_at[first] = index[-1]
-        key = mixed(mixed(context) * np.uint64(3) + token)
-        place = ((key >> KEY_BITS) % np.uint64(buckets)) << KEY_BITS | (key & KEY_MASK)
-        pairs, pair_at = np.unique(place, return_inverse=True)
         order = np.argsort(word_bucket(words, buckets), kind="stable")
-        return cls(first, words, pairs, token_at, context_at, pair_at.astype(np.int32), order)
+        return cls(first, words, pairs, index[:-1], context_at, pair_at, order)
+
+
+def _tokens(batch: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of each token, an end after each document, and the place of each document's first token."""
+    parts, sizes, waiting = [], [], []
+    for text in batch:
+        own = ascii_words(text)
+        sizes.append(len(own))
+        waiting += own
+        if len(waiting) >= WORDS_A_PASS:
+            parts.append(hashed(waiting))
+            waiting = []
+    parts.append(hashed(waiting))
+    h = np.concatenate(parts)
+    h[(h == START) | (h == END)] += np.uint64(1)
+    ends = np.cumsum(sizes, dtype=np.int64)
+    return np.insert(h, ends, END), np.concatenate(([0], ends[:-1])) + np.arange(len(sizes))
+
+
+def _pair_keys(token: np.ndarray, first: np.ndarray, buckets: int) -> np.ndarray:
+    """Key of each token and what stands before, under the pair's bucket."""
+    context = np.concatenate(([START], token[:-1]))
+    context[first] = START
+    key = mixed(mixed(context) * np.uint64(3) + token)
+    return ((key >> KEY_BITS) % np.uint64(buckets)) << KEY_BITS | (key & KEY_MASK)
 
 
 def word_bucket(words: np.ndarray, buckets: int) -> np.ndarray:
     return (mixed(words) % np.uint64(buckets)).astype(np.int64)
 
 
+def packed(ids: list[int | None], whole: list[str]) -> bytes:
+    """Ids and texts of a chunk as one compressed value, less than half as long: executors hold, sort and shuffle that."""
+    rows = pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(whole, pa.large_string())], names=["id", "text"])
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, rows.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write_batch(rows)
+    return sink.getvalue().to_pybytes()
+
+
+def unpacked(value: bytes | pa.Buffer) -> tuple[list[int | None], list[str]]:
+    with pa.ipc.open_stream(value) as rows:
+        batch = rows.read_next_batch()
+    return batch.column("id").to_pylist(), batch.column("text").to_pylist()
+
+
 def chunked(docs: DataFrame) -> DataFrame:
-    """Rows of about ``CHUNK_CHARS`` of text of one part: ``chunk, part, ids, texts``.
+    """Rows of about ``CHUNK_CHARS`` of text of one part: ``chunk, part, chars, packed``.
 
     Chunks are made where the documents are read, without a shuffle, and stored; what they
     hold is fixed from then on, whatever task runs again.
@@ -101,15 +127,15 @@ def chunked(docs: DataFrame) -> DataFrame:
                 [
                     pa.array([base + n], pa.int64()),
                     pa.array([p], pa.int32()),
-                    pa.array([ids], pa.list_(pa.int64())),
-                    pa.array([whole], pa.list_(pa.string())),
+                    pa.array([sum(map(len, whole))], pa.int64()),
+                    pa.array([packed(ids, whole)], pa.binary()),
                 ],
-                names=["chunk", "part", "ids", "texts"],
+                names=["chunk", "part", "chars", "packed"],
             )
             waiting[p] = ([], [], [0])
             return made
 
-        for batch in batches:
+        for batch in slices(batches, "text"):
             columns = (batch.column(c).to_pylist() for c in ("doc_id", "text", "part"))
             for doc_id, text, p in zip(*columns, strict=True):
                 ids, whole, size = waiting[p]
@@ -124,7 +150,7 @@ def chunked(docs: DataFrame) -> DataFrame:
                 yield emit(p)
                 n += 1
 
-    return kept_table(rows.mapInArrow(gather, "chunk long, part int, ids array<bigint>, texts array<string>"))
+    return kept_table(rows.mapInArrow(gather, "chunk long, part int, chars long, packed binary"), CHUNKS_A_GROUP)
 
 
 REQUEST = "bucket int, chunk long, part int, words array<bigint>, word_n array<int>, high array<int>, low array<tinyint>, pair_n array<int>"
@@ -135,30 +161,36 @@ def _slices(values: np.ndarray, ends: np.ndarray, kind: pa.DataType) -> pa.Array
     return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(values, kind))
 
 
+def distinct_counts(batch: list[str], buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct words by bucket and distinct pairs in order, as a ``Chunk`` has them, each with its counts in the texts."""
+    token, first = _tokens(batch)
+    pairs, pair_n = np.unique(_pair_keys(token, first, buckets), return_counts=True)
+    words, word_n = np.unique(np.append(token, START), return_counts=True)
+    word_n[np.searchsorted(words, START)] = len(first)
+    order = np.argsort(word_bucket(words, buckets), kind="stable")
+    return words[order], word_n[order], pairs, pair_n
+
+
 def requests(chunks: DataFrame, buckets: int) -> DataFrame:
     """A row for each chunk and bucket: the distinct words and pairs with their counts in the chunk."""
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in range(batch.num_rows):
-                one = batch.slice(row, 1)
-                c = Chunk.of(one.column("texts").to_pylist()[0], buckets)
-                words = c.words[c.by_bucket]
-                word_n = np.bincount(c.token, minlength=len(words))
-                word_n[np.searchsorted(c.words, START)] = len(c.first)
+            for chunk, part, value in zip(*(batch.column(c) for c in ("chunk", "part", "packed")), strict=True):
+                words, word_n, pairs, pair_n = distinct_counts(unpacked(value.as_buffer())[1], buckets)
                 word_ends = np.searchsorted(word_bucket(words, buckets), np.arange(buckets + 1))
-                pair_ends = np.searchsorted(c.pairs >> KEY_BITS, np.arange(buckets + 1, dtype=np.uint64))
-                key = c.pairs & KEY_MASK
+                pair_ends = np.searchsorted(pairs >> KEY_BITS, np.arange(buckets + 1, dtype=np.uint64))
+                key = pairs & KEY_MASK
                 made = pa.RecordBatch.from_arrays(
                     [
                         pa.array(np.arange(buckets, dtype=np.int32)),
-                        pa.array(np.full(buckets, one.column("chunk")[0].as_py(), np.int64)),
-                        pa.array(np.full(buckets, one.column("part")[0].as_py(), np.int32)),
+                        pa.array(np.full(buckets, chunk.as_py(), np.int64)),
+                        pa.array(np.full(buckets, part.as_py(), np.int32)),
                         _slices(words.view(np.int64), word_ends, pa.int64()),
-                        _slices(word_n[c.by_bucket].astype(np.int32), word_ends, pa.int32()),
+                        _slices(word_n.astype(np.int32), word_ends, pa.int32()),
                         _slices((key >> np.uint64(8)).astype(np.uint32).view(np.int32), pair_ends, pa.int32()),
                         _slices((key & np.uint64(255)).astype(np.uint8).view(np.int8), pair_ends, pa.int8()),
-                        _slices(np.bincount(c.pair, minlength=len(key)).astype(np.int32), pair_ends, pa.int32()),
+                        _slices(pair_n.astype(np.int32), pair_ends, pa.int32()),
                     ],
                     names=[n.split()[0] for n in REQUEST.split(", ")],
                 )
@@ -255,7 +287,7 @@ def weights_of(histogram: pd.DataFrame, rounds: int = ROUNDS) -> np.ndarray:
 def _histogram(left: pd.DataFrame, right: pd.DataFrame, buckets: int, tokens: int, distinct: int) -> pd.DataFrame:
     out = []
     for row in left.itertuples():
-        c = Chunk.of(list(row.texts), buckets)
+        c = Chunk.of(unpacked(row.packed)[1], buckets)
         token, context, pair = _counts(c, right, "fit")
         seen = context > 0
         ratio = pair[seen] / context[seen] / _word_estimate(token[seen], tokens, distinct)
@@ -272,12 +304,13 @@ def _scores(
 ) -> pd.DataFrame:
     out = []
     for row in left.itertuples():
-        c = Chunk.of(list(row.texts), buckets)
+        ids, whole_texts = unpacked(row.packed)
+        c = Chunk.of(whole_texts, buckets)
         token, context, pair = _counts(c, right, "all")
         by_word = _word_estimate(token, tokens, distinct)
         weight = np.where(context > 0, weights[context_bucket(context)], 0.0)
         whole = np.log10(weight * pair / np.maximum(context, 1) + (1 - weight) * by_word)
-        frame = pd.DataFrame({"doc_id": pd.array(list(row.ids), "Int64")})
+        frame = pd.DataFrame({"doc_id": pd.array(ids, "Int64")})
         frame["n_tokens"] = np.diff(np.append(c.first, len(c.token)))
         frame["n_known"] = np.add.reduceat((token > 0).astype(np.int64), c.first)
         frame["base_score"] = np.add.reduceat(np.log10(by_word), c.first)
@@ -296,9 +329,8 @@ def language_scores(docs: DataFrame) -> DataFrame:
     by 64 bits; pairs by 40 bits and their bucket, of which there are as many as the text needs.
     """
     chunks = chunked(docs)
-    size = chunks.select(F.aggregate("texts", F.lit(0).cast("long"), lambda s, t: s + F.length(t)).alias("n")).agg(F.sum("n"))
-    buckets = max(1, -(-(size.first()[0] or 0) // BUCKET_CHARS))
-    answered = kept_table(answers(requests(chunks, buckets)))
+    buckets = max(1, -(-(chunks.agg(F.sum("chars")).first()[0] or 0) // BUCKET_CHARS))
+    answered = kept_table(answers(requests(chunks, buckets)), ANSWERED_CHUNKS_A_GROUP * buckets)
     totals = answered.where("chunk = -1").select(F.explode(F.arrays_zip(F.array(*map(F.lit, range(3))), "word_all")).alias("t"))
     rows = totals.groupBy(F.col("t")["0"].alias("k")).agg(F.sum(F.col("t")["word_all"]).alias("n")).collect()
     distinct, tokens, counted = (dict((r.k, r.n) for r in rows).get(k, 0) for k in range(3))

@@ -35,10 +35,17 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def kept_table(df: DataFrame) -> DataFrame:
-    """Write ``df`` as Parquet into the shared folder and read it again: for large cuts, since it is compressed."""
+def kept_table(df: DataFrame, group_rows: int | None = None) -> DataFrame:
+    """Write ``df`` as Parquet into the shared folder and read it again: for large cuts, since it is compressed.
+
+    ``group_rows`` bounds the rows of a row group, for rows so long that the writer's own look at
+    the bytes, after a hundred of them, comes late, or that are far longer once decoded.
+    """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/table-{uuid.uuid4()}"
     # A writer holds a row group in memory; smaller ones leave more of an executor to the work.
-    df.write.option("parquet.block.size", ROW_GROUP_BYTES).parquet(path)
+    writer = df.write.option("parquet.block.size", ROW_GROUP_BYTES)
+    if group_rows:
+        writer = writer.option("parquet.block.row.count.limit", group_rows)
+    writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -6,6 +6,7 @@ from collections import Counter
 
 import numpy as np
 import pandas as pd
+import pyarrow.parquet as pq
 import pytest
 
 from ledgerline.llm import ngrams, quality, toxicity
@@ -176,3 +177,48 @@ def test_odd_rows_are_scored_by_the_language_model(spark):
     assert all(r.held_out is False for r in rows if r.doc_id is None)
     assert all(math.isfinite(r.score) and math.isfinite(r.base_score) for r in rows)
     assert ngrams.language_scores(none(spark)).count() == 0
+
+
+def worded(spark, n=400):
+    """Texts of common and rare words; null and repeated ids, null and empty texts among them."""
+    rng = np.random.default_rng(6)
+    rows = [(i, " ".join(f"w{k}" for k in rng.zipf(1.3, 200) % 5000)) for i in range(n)]
+    rows += [(None, rows[0][1]), rows[1], (rows[2][0], rows[3][1]), (n, None), (n + 1, "")]
+    return spark.createDataFrame(rows, "doc_id long, text string").coalesce(2), rows
+
+
+def small_chunks(monkeypatch):
+    monkeypatch.setattr(ngrams, "CHUNK_CHARS", 5_000)
+    monkeypatch.setattr(ngrams, "BUCKET_CHARS", 20_000)
+
+
+def test_stored_chunks_are_short_and_few_to_a_row_group(spark, monkeypatch):
+    """A reader holds a row group and an Arrow batch of them, so neither may be the texts of a whole partition."""
+    docs, rows = worded(spark)
+    small_chunks(monkeypatch)
+    chunks = ngrams.chunked(docs)
+    groups = [m.row_group(i).num_rows for m in map(pq.read_metadata, chunks.inputFiles()) for i in range(m.num_row_groups)]
+    assert sum(groups) > 30 and max(groups) <= 4
+    stored = sum(len(v) if isinstance(v, bytes | bytearray) else sum(len(str(x)) for x in v) for r in chunks.collect() for v in r if not isinstance(v, int))
+    assert stored < 0.6 * sum(len(t or "") for _, t in rows)
+
+
+def test_chunks_hold_every_document(spark, monkeypatch):
+    docs, rows = worded(spark)
+    small_chunks(monkeypatch)
+    held = Counter()
+    for r in ngrams.chunked(docs).collect():
+        ids, texts = ngrams.unpacked(bytes(r.packed))
+        assert r.chars == sum(map(len, texts))
+        held.update(zip(ids, texts, strict=True))
+    assert held == Counter((i, t or "") for i, t in rows)
+
+
+def test_small_chunks_and_buckets_give_the_same_scores(spark, monkeypatch):
+    docs, rows = worded(spark)
+    columns = ["doc_id", "n_tokens", "base_score", "score", "n_known", "train_tokens", "held_out"]
+    whole = ngrams.language_scores(docs).select(columns).orderBy(columns).toPandas()
+    small_chunks(monkeypatch)
+    parts = ngrams.language_scores(docs).select(columns).orderBy(columns).toPandas()
+    assert len(whole) == len(rows)
+    pd.testing.assert_frame_equal(whole, parts, rtol=1e-9)
